@@ -17,11 +17,12 @@ def leaf_outer(
     ``leaves`` maps output names to field paths in the element. A parent whose list is
     empty or NULL keeps one row with all leaf columns NULL.
     """
-    exploded = df.select(*parents, F.explode_outer(items).alias("_leaf"))
-    kept = [name for name in exploded.columns if name != "_leaf"]
+    parts = df.select(*parents, items.alias("_items"))
+    kept = [F.col(f"`{name}`") for name in parts.columns[:-1]]
+    # Two steps, so that the generator copies the parent columns and not what they come from.
+    exploded = parts.select(*kept, F.explode_outer("_items").alias("_leaf"))
     return exploded.select(
-        *[F.col(f"`{name}`") for name in kept],
-        *[F.col(f"_leaf.{path}").alias(name) for name, path in leaves.items()],
+        *kept, *[F.col(f"_leaf.{path}").alias(name) for name, path in leaves.items()]
     )
 
 

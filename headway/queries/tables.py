@@ -38,6 +38,18 @@ EVENTS = """
 """
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows over all cores, if their table has fewer splits than that; as they are if not.
+
+    Ranges keep neighbours together for packing; the hash lets them cut through a value that many
+    rows share.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartitionByRange(cores, *by, F.xxhash64(*df.columns))
+
+
 def only(condition: Column, value: Column) -> Column:
     """The value where the condition holds, else unset."""
     return F.when(condition, value)
@@ -93,9 +105,9 @@ def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(k <= 60, k).alias("occupancy_percentage"),
         carriages.alias("multi_carriage_details"),
     )
-    slot = F.floor(F.col("epoch") / 3600)
+    slot = F.expr("epoch div 3600")
     entity = F.struct(number.alias("id"), only(k != 13, body).alias("vehicle"))
-    return events(spark, sf_dir).select(
+    return spread(events(spark, sf_dir), "at").select(
         "date",
         "hour",
         only(slot % 5 != 0, slot * 3600).alias("header_timestamp"),
@@ -196,7 +208,18 @@ def trip_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_discount") * 100).cast("long").alias("delay"),
         only(F.col("l_quantity") > 40, stops).alias("stop_time_update"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_discount",
+        "l_returnflag",
+        "l_linestatus",
+        "l_shipdate",
+    )
+    return spread(lines, "l_shipdate").select(
         F.date_format(shipped, "yyyy-MM-dd").alias("date"),
         F.lit("00").alias("hour"),
         epoch.alias("header_timestamp"),
@@ -277,7 +300,7 @@ def alert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(turn > 0, informed).alias("informed_entity"),
     )
     entity = F.struct(F.concat_ws("-", "conv_id", "turn").alias("id"), alert.alias("alert"))
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations"), "conv_id").select(
         F.concat(F.lit("2024-01-"), F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")).alias("date"),
         F.lpad((turn % 24).cast("string"), 2, "0").alias("hour"),
         only(turn != 1, F.col("conv_id")).alias("header_timestamp"),

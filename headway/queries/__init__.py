@@ -12,16 +12,16 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Registers a query under its function name. The tables' times are UTC, so the session is too."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query, by its function name or ``name``. Times in the tables are UTC."""
 
     def register(run: Query) -> Query:
         def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return run(spark, sf_dir)
 
-        QUERIES[run.__name__] = in_utc
-        SQL[run.__name__] = sql
+        QUERIES[name or run.__name__] = in_utc
+        SQL[name or run.__name__] = sql
         return run
 
     return register

@@ -50,7 +50,7 @@ def leaf_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
            coalesce([x for x in lines if length(x) % 2 = 0][1], lines[1]) AS first_text,
            lines[1] AS all_tagged, NULL::VARCHAR AS none
     FROM (SELECT *, string_split(text, chr(10)) AS lines FROM conversations)
-""")
+""", name="first_text")
 def first_text_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text of each turn's lines: the first untagged, else the first of all."""
     alert = tables.alert_entities(spark, sf_dir)
@@ -222,6 +222,24 @@ def key_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    SELECT regexp_extract(key, '^(.*)/[^/]*$', 1) AS hour_prefix, count(*) AS n_keys,
+           min(key) AS first_key, max(key) AS last_key
+    FROM ({KEYS}) GROUP BY ALL
+""")
+def hour_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys grouped by the hour folder they share."""
+    return (
+        _keys(spark, sf_dir)
+        .groupBy(keys.hour_prefix(F.col("key")).alias("hour_prefix"))
+        .agg(
+            F.count("key").alias("n_keys"),
+            F.min("key").alias("first_key"),
+            F.max("key").alias("last_key"),
+        )
+    )
+
+
 @query(f"SELECT date, hour, count(*) AS n_rows FROM ({EVENTS}) GROUP BY date, hour")
 def hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each hour that has any."""
@@ -298,7 +316,7 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT *, lag(event_type) OVER w AS before, row_number() OVER w AS n
           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
     WHERE n = 1 OR event_type IS DISTINCT FROM before
-""")
+""", name="drop_unchanged")
 def change_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user that differ in type from the one before."""
     kept = drop_unchanged(

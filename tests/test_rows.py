@@ -184,3 +184,10 @@ def test_hour_prefix(spark):
     df = spark.createDataFrame([("raw/f/2026/03/09/10/a.pb",), ("raw/f/2026/03/09/11/b.pb",)], "key string")
     got = [r[0] for r in df.select(keys.hour_prefix(F.col("key"))).collect()]
     assert got == ["raw/f/2026/03/09/10", "raw/f/2026/03/09/11"]
+
+
+def test_capture_time_of_odd_keys(spark):
+    names = ["a_17.pb", "a.pb", "a_99999999999999999999.pb", "b_1_2.tar.pb", "b_1_2.pb"]
+    df = spark.createDataFrame([(f"raw/f/2026/03/09/10/{n}",) for n in names], "key string")
+    got = [r[0] for r in df.select(keys.captured_epoch(F.col("key"))).collect()]
+    assert got == [17, None, None, None, 2]

@@ -73,9 +73,10 @@ def _first_by_role(spark: SparkSession, sf_dir: str, untagged: str) -> DataFrame
     translation = F.struct(
         "text", F.when(F.col("role") != untagged, F.col("role")).alias("language")
     )
+    turn = F.struct("turn", "text")
     firsts = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.min_by(translation, "turn").alias("first"),
-        F.min_by(translation, F.when(F.col("role") == untagged, F.col("turn"))).alias("untagged"),
+        F.min_by(translation, turn).alias("first"),
+        F.min_by(translation, F.when(F.col("role") == untagged, turn)).alias("untagged"),
     )
     candidates = F.filter(F.array("first", "untagged"), lambda t: t.isNotNull())
     return firsts.select("conv_id", first_text(candidates).alias("text"))
@@ -83,8 +84,8 @@ def _first_by_role(spark: SparkSession, sf_dir: str, untagged: str) -> DataFrame
 
 def _first_by_role_sql(untagged: str) -> str:
     return f"""
-        SELECT conv_id, coalesce(arg_min(text, turn) FILTER (WHERE role = '{untagged}'),
-                                 arg_min(text, turn)) AS text
+        SELECT conv_id, coalesce(arg_min(text, (turn, text)) FILTER (WHERE role = '{untagged}'),
+                                 arg_min(text, (turn, text))) AS text
         FROM conversations GROUP BY conv_id
     """
 
@@ -180,11 +181,12 @@ def day_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.with_positions(written).withColumn("date", F.col("date").cast("string"))
 
 
-KEYS = """
-    SELECT event_id, 'raw/' || event_type || '/' || strftime(ts, '%Y/%m/%d/%H') || '/' || event_type
-                     || '_' || floor(epoch(ts))::BIGINT || '.pb' AS key
-    FROM events
+KEYED = f"""
+    SELECT *, 'raw/' || event_type || '/' || strftime(ts, '%Y/%m/%d/%H') || '/' || event_type
+              || '_' || epoch || '.pb' AS key
+    FROM ({EVENTS})
 """
+KEYS = f"SELECT event_id, key FROM ({KEYED})"
 
 
 def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +208,7 @@ def raw_key(spark: SparkSession, sf_dir: str) -> DataFrame:
            regexp_extract(key, '^(.*)/[^/]*$', 1) AS hour_prefix,
            regexp_extract(key, '_(\\d+)\\.pb$', 1)::BIGINT AS epoch,
            strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS captured_at
-    FROM ({KEYS}) JOIN events USING (event_id)
+    FROM ({KEYED})
 """)
 def key_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed, day, hour and capture time read back from the keys."""
@@ -333,7 +335,7 @@ def change_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT event_type AS feed, key, identity
     FROM (SELECT *, lag(identity) OVER w AS before, row_number() OVER w AS n
           FROM (SELECT event_type, ts, event_id, key, sha256((k // 20)::VARCHAR) AS identity
-                FROM ({EVENTS}) JOIN ({KEYS}) USING (event_id))
+                FROM ({KEYED}))
           WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))
     WHERE n = 1 OR identity IS DISTINCT FROM before
 """)

@@ -1,7 +1,8 @@
-"""Runs queries and their SQL on the given tables and compares them: check_sql.py [sf] [name ...]"""
+"""Runs queries and their SQL on the given tables and compares them: check_sql.py [sf or folder] [name ...]"""
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -17,7 +18,8 @@ TABLES = (
 
 
 def sql_rows(name: str, sf_dir: str):
-    with duckdb.connect() as db:
+    with duckdb.connect() as db, tempfile.TemporaryDirectory(prefix="run-") as spill:
+        db.execute(f"SET temp_directory = '{spill}'")
         for table in TABLES:
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
         result = db.execute(entry_points.oracle_sql()[name])
@@ -62,7 +64,7 @@ if __name__ == "__main__":
     for name in sys.argv[2:] or entry_points.queries():
         start = time.time()
         try:
-            problem = compare(spark, name, f"/root/testdata/sf{sf}")
+            problem = compare(spark, name, sf if sf[0] == "/" else f"/root/testdata/sf{sf}")
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         print(f"{name:24s} {'ok' if problem is None else problem}  {time.time() - start:.1f}s", flush=True)

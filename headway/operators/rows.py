@@ -32,10 +32,11 @@ def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> Da
     Names must agree: a missing or an extra column is an error, not a NULL or a drop.
     """
     want, have = set(schema.names) | set(keep), set(df.columns)
-    if want != have or len(df.columns) != len(have):
+    twice = {name for name in have if df.columns.count(name) > 1}
+    if want != have or twice:
         raise ValueError(
             f"columns do not match the schema: missing {sorted(want - have)}, "
-            f"extra {sorted(have - want)}, duplicated {sorted({c for c in df.columns if df.columns.count(c) > 1})}"
+            f"extra {sorted(have - want)}, duplicated {sorted(twice)}"
         )
     return df.select(
         *keep, *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]

@@ -155,8 +155,9 @@ def distinct_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts whose columns differ in order and type, as one table."""
     all_events = events(spark, sf_dir)
-    even = all_events.where(F.col("hour").cast("int") % 2 == 0).select("event_id", "date", "hour", "k")
-    odd = all_events.where(F.col("hour").cast("int") % 2 == 1).select(
+    parity = F.col("hour").cast("int") % 2
+    even = all_events.where(parity == 0).select("event_id", "date", "hour", "k")
+    odd = all_events.where(parity == 1).select(
         "hour", "date", F.col("k").cast("int").alias("k"), F.col("event_id").cast("string")
     )
     return rows.union_parts([even, odd], struct(event_id=STRING, date=STRING, hour=STRING, k=LONG))

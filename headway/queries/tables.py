@@ -178,7 +178,8 @@ def trip_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(shipped, "yyyyMMdd").alias("start_date"),
         F.lit(None).alias("schedule_relationship"),
     )
-    arriving = F.struct((F.col("l_quantity") - 45).cast("long").alias("delay"), F.lit(None).alias("time"))
+    early = (F.col("l_quantity") - 45).cast("long")
+    arriving = F.struct(early.alias("delay"), F.lit(None).alias("time"))
     leaving = F.struct(F.lit(0).alias("delay"), epoch.alias("time"))
     stops = F.array(
         F.struct(
@@ -223,7 +224,9 @@ def trip_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(shipped, "yyyy-MM-dd").alias("date"),
         F.lit("00").alias("hour"),
         epoch.alias("header_timestamp"),
-        F.struct(order.alias("id"), update.alias("trip_update")).cast(feeds.TRIP_ENTITY).alias("entity"),
+        F.struct(order.alias("id"), update.alias("trip_update"))
+        .cast(feeds.TRIP_ENTITY)
+        .alias("entity"),
     )
 
 
@@ -300,8 +303,9 @@ def alert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         only(turn > 0, informed).alias("informed_entity"),
     )
     entity = F.struct(F.concat_ws("-", "conv_id", "turn").alias("id"), alert.alias("alert"))
+    day = F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")
     return spread(table(spark, sf_dir, "conversations"), "conv_id").select(
-        F.concat(F.lit("2024-01-"), F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")).alias("date"),
+        F.concat(F.lit("2024-01-"), day).alias("date"),
         F.lpad((turn % 24).cast("string"), 2, "0").alias("hour"),
         only(turn != 1, F.col("conv_id")).alias("header_timestamp"),
         entity.cast(feeds.ALERT_ENTITY).alias("entity"),

@@ -33,3 +33,19 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
     )
     return packing.packed_pieces(digests)
+
+
+@query
+def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text to ids through the lexicon and back."""
+    from headway.llm import encoding
+
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    done = encoding.round_trip(docs, path, encoding.build_lexicon(docs, path))
+    return done.select(
+        "doc_id",
+        F.expr("length(ids) DIV 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

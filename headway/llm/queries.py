@@ -49,3 +49,14 @@ def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of repeated strings of 400 bytes."""
+    from headway.llm import suffixes
+
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )

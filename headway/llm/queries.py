@@ -60,3 +60,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of copies and near copies, and its number of links."""
+    from headway.llm import forest
+
+    return forest.near_duplicates(table(spark, sf_dir, "documents"))

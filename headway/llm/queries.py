@@ -68,3 +68,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from headway.llm import forest
 
     return forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one, among all."""
+    from headway.llm import neighbours
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))

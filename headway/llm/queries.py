@@ -77,3 +77,33 @@ def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of secrets in every text."""
+    from headway.llm import secrets
+
+    scanned = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.KINDS))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS)]
+    return scanned.select(
+        "doc_id", *counts, F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every text."""
+    from headway.llm import quality
+
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )

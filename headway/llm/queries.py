@@ -107,3 +107,24 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "rule",
     )
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    from headway.llm import urls
+
+    return urls.judge(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from the labels of four documents in five."""
+    from headway.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    away = langid.held_out(F.col("doc_id"))
+    found = langid.identify(docs, langid.learn(docs.where(~away)))
+    return found.select("doc_id", away.alias("held_out"), "lang_pred", "score", "rejected")

@@ -128,3 +128,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     away = langid.held_out(F.col("doc_id"))
     found = langid.identify(docs, langid.learn(docs.where(~away)))
     return found.select("doc_id", away.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License passages of every text."""
+    from headway.llm import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))

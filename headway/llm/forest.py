@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.components import components
-from headway.llm.stage import slices, staged
+from headway.llm.stage import as_id, id_key, slices, staged
 from headway.llm.words import WordSplitter, shingles
 
 K = 5
@@ -166,7 +166,7 @@ def near_duplicates(
     spark = docs.sparkSession
     depth = matched_depth(threshold, trees, longest, recall)
     content = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        id_key().alias("doc_id"),
         F.unhex(F.md5("text")).alias("text_key"),
         F.coalesce("text", F.lit("")).cast("binary").alias("content"),
     )
@@ -236,8 +236,26 @@ def near_duplicates(
     )
     ids = content.select("doc_id", "text_key")
     return ids.join(of_text, "text_key", "left").select(
-        "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        as_id("doc_id").alias("doc_id"),
+        as_id(F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose doc_id is their class's; of repeated
+    rows one. A text without words stays, as it is alone in its class."""
+    classes = near_duplicates(docs, **options)
+    first = staged(
+        classes.where("doc_id <=> class_id").groupBy(id_key().alias("__doc")).agg(
+            F.count("*").alias("__rows")
+        ),
+        "firsts",
+    )
+    kept = docs.join(first, id_key(docs["doc_id"]) == F.col("__doc"))
+    once = kept.where("__rows = 1").select(*docs.columns)
+    if first.where("__rows > 1").isEmpty():
+        return once
+    again = kept.where("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.unionAll(again)

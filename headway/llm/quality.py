@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.stage import slices, staged
+from headway.llm.stage import id_key, slices, staged
 from headway.llm.words import SPACE, WordSplitter, shingles
 
 # Labelled rows that rules are learned from, at most: those of smallest hash.
@@ -253,10 +253,7 @@ def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that are kept, with all their columns."""
     kept = judge(docs, labels).where("kept").select(
-        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")
-    )
-    return docs.join(
-        kept,
-        (docs["doc_id"].cast("long") == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__key")),
-        "left_semi",
+        id_key().alias("__doc"), F.col("text_key").alias("__key")
     )
+    same = (id_key(docs["doc_id"]) == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__key"))
+    return docs.join(kept, same, "left_semi")

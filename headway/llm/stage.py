@@ -5,13 +5,29 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from headway.sources.shared import shared_folder
 
 # Text handled at a time within a task, in bytes; a single longer text is handled alone.
 SLICE_BYTES = 4 << 20
 
+# Stands for a null document id in joins.
+NO_ID = -(1 << 63)
+
+
+def id_key(doc_id: str | Column = "doc_id") -> Column:
+    """A document id as a long that joins, also where it is null."""
+    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.coalesce(column.cast("long"), F.lit(NO_ID))
+
+
+def as_id(key: str | Column) -> Column:
+    """The document id of a key."""
+    column = F.col(key) if isinstance(key, str) else key
+    return F.nullif(column, F.lit(NO_ID))
+
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table as Parquet and reads it again: lineage ends there, and it is computed once."""

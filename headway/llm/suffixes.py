@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.stage import staged
+from headway.llm.stage import as_id, id_key, staged
 
 DEPTH = 400
 Q = 64
@@ -287,6 +287,21 @@ def cut_out(content: bytes, low: np.ndarray, high: np.ndarray, depth: int):
     return b"".join(kept), int((end - start).sum()), len(start)
 
 
+def _contents(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        id_key().alias("doc_id"),
+        F.xxhash64("text").alias("text_key"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("content"),
+    )
+
+
+def _listed(spans: DataFrame) -> DataFrame:
+    """Spans of each text, as many as its length allows at most."""
+    return spans.groupBy("doc_id", "text_key").agg(
+        F.collect_set(F.struct("low", "high")).alias("spans")
+    )
+
+
 def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """All rows of ``docs`` (doc_id and text, other columns are left out) as doc_id, n_bytes,
     n_removed, n_spans and kept, the UTF-8 bytes that no repeated window covers.
@@ -294,23 +309,15 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     A null text is empty; texts shorter than a window stay; a repeated row is a copy like any
     other, and loses all its bytes if it has a window.
     """
-    contents = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("text_key"),
-        F.coalesce("text", F.lit("")).cast("binary").alias("content"),
-    )
-    spans = (
-        repeated_spans(contents, depth)
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    )
+    contents = _contents(docs)
+    spans = _listed(repeated_spans(contents, depth))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            spans = batch.column("spans")
             for doc, content, own in zip(
-                batch.column("doc_id").to_pylist(), batch.column("content"), spans, strict=True
+                batch.column("doc_id").to_pylist(), batch.column("content"),
+                batch.column("spans"), strict=True,
             ):
                 content = content.as_py()
                 if own.is_valid and len(own):
@@ -320,11 +327,33 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 else:
                     rows.append((doc, len(content), 0, 0, content))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
+            types = [pa.int64()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.binary()], strict=True)],
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    return contents.join(spans, ["doc_id", "text_key"], "left").mapInArrow(
+    cut = contents.join(spans, ["doc_id", "text_key"], "left").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
+    return cut.withColumn("doc_id", as_id("doc_id"))
+
+
+def strip_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``docs`` without the repeated bytes in ``text``; a character of which a part goes, goes
+    whole. Other columns stay, a null text stays null."""
+    own = _listed(repeated_spans(_contents(docs), depth)).select(
+        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"),
+        F.col("spans").alias("__spans"),
+    )
+
+    @F.udf("string", useArrow=True)
+    def stripped(text, spans):
+        if not spans:
+            return text
+        low, high = (np.array([s[end] for s in spans], dtype=np.int64) for end in ("low", "high"))
+        return cut_out(text.encode(), low, high, depth)[0].decode("utf-8", "ignore")
+
+    same = (id_key(docs["doc_id"]) == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__key"))
+    joined = docs.join(own, same, "left")
+    return joined.withColumn("text", stripped("text", "__spans")).select(*docs.columns)

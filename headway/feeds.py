@@ -7,11 +7,13 @@ stay strings, enums stay integer codes, instants are POSIX seconds.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from headway.sources import wire
+
 STRING, LONG, DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
 
 # A snapshot is expected every 20 seconds of a UTC day.
@@ -32,7 +34,9 @@ class FeedSpec:
 
     ``entity`` lists the wire fields to decode, by their names in the message definition;
     ``shape`` turns decoded entities (columns ``header_timestamp`` and ``entity`` plus any
-    others to keep) into rows of ``schema``. A new feed needs nothing beyond such a spec.
+    others to keep) into rows of ``schema``. ``messages`` adds wire fields that the message
+    definition lacks, as message -> field -> (type, number). A new feed needs nothing beyond such
+    a spec; one that does not fit the messages or its own schema is refused here.
     """
 
     name: str
@@ -41,11 +45,13 @@ class FeedSpec:
     entity: T.StructType
     shape: Callable[[DataFrame], DataFrame]
     expected: int = EXPECTED_SNAPSHOTS
+    messages: wire.Messages = field(default_factory=dict)
 
     def __post_init__(self):
-        missing = [key for key in self.sort_keys if key not in self.schema.names]
-        if missing:
-            raise ValueError(f"{self.name}: sort keys {missing} are not columns of the schema")
+        faults = [f"cannot sort by {k}, no such column" for k in self.sort_keys if k not in self.schema.names]
+        faults += wire.mismatches(self.entity, "FeedEntity", self.messages)
+        if faults:
+            raise ValueError(f"feed {self.name}: {'; '.join(faults)}")
 
 
 # The curated columns, in order.

@@ -26,4 +26,4 @@ def first_text(translations: Column) -> Column:
     untagged = F.filter(
         translations, lambda t: t["language"].isNull() | (t["language"] == F.lit(""))
     )
-    return F.get(F.concat(untagged, translations), F.lit(0))["text"]
+    return F.coalesce(F.get(untagged, F.lit(0)), F.get(translations, F.lit(0)))["text"]

@@ -7,9 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Slices that are looked at together at each level, and levels: the last looks at one row for
+# each 2**24 slices of a key.
+GROUP_BITS = 12
+LEVELS = 3
+# Number of the slice of rows without a time or number; others lie above it.
+FIRST_SLICE = -(1 << 62)
+
 
 def drop_unchanged(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], identity: str, slice_by: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], identity: str, width: float
 ) -> DataFrame:
     """Keeps a row only if its identity differs from that of the row before it.
 
@@ -17,21 +24,18 @@ def drop_unchanged(
     A, B, A keeps all three. Failed stores must be filtered out before, as an identity
     moves only when its payload was stored.
 
-    ``slice_by`` must not decrease along ``order``. It cuts the run of a key into slices
-    that tasks work on alone, so a key with a third of all rows is spread over many tasks.
-    The last identity of each slice, one small row, is put before the first row of the next.
+    The first column of ``order``, a number or a time, is cut into slices of ``width`` (seconds
+    for a time) that tasks work on alone, so a key with a third of all rows is spread over many
+    tasks. Rows in which it is NULL come first, as one slice. The last identity of each slice, one
+    small row, is put before the first row of the next.
     """
     part = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", slice_by).withColumn("_seed", F.lit(1))
-
+    sliced = df.withColumn("_slice", _slice(df, order[0], width)).withColumn("_seed", F.lit(1))
     ends = sliced.groupBy(*part).agg(
         F.max_by(F.struct(identity), F.struct(*order)).alias("_end")
     )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    seeds = (
-        ends.select(*part, F.lag("_end").over(across).alias("_end"))
-        .where(F.col("_end").isNotNull())
-        .select(*part, F.col("_end")[identity].alias(identity), F.lit(0).alias("_seed"))
+    seeds = _carried(ends, keys).select(
+        *part, F.col("_end")[identity].alias(identity), F.lit(0).alias("_seed")
     )
 
     within = Window.partitionBy(*part).orderBy("_seed", *order)
@@ -39,3 +43,37 @@ def drop_unchanged(
     compared = sliced.unionByName(seeds, allowMissingColumns=True).withColumn("_before", before)
     changed = F.col("_before").isNull() | ~F.col(identity).eqNullSafe(F.col("_before")[identity])
     return compared.where((F.col("_seed") == 1) & changed).select(*df.columns)
+
+
+def _slice(df: DataFrame, first: str, width: float) -> Column:
+    at = F.col(first)
+    if df.schema[first].dataType.typeName().startswith("timestamp"):
+        at = F.unix_micros(at.cast("timestamp")) / 1_000_000
+    return F.coalesce(F.floor(at / width).cast("long"), F.lit(FIRST_SLICE))
+
+
+def _carried(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each slice but a key's first, the end of the slice before it.
+
+    Slices are grouped by their number without its low bits. Within a group a window looks one
+    slice back; a group's first slice gets the end of the group before, found alike one level up.
+    So no task has all slices of a key.
+    """
+    # From zero up, so that the highest bits are the same for all.
+    out, rows = None, ends.withColumn("_at", F.col("_slice") - FIRST_SLICE)
+    for level in range(1, LEVELS + 1):
+        group = [*keys, "_group"]
+        # The last level takes what is left, one row for each group of the level before.
+        shift = GROUP_BITS if level < LEVELS else 63
+        rows = rows.withColumn("_group", F.shiftright("_at", shift))
+        window = Window.partitionBy(*group).orderBy("_at")
+        seen = rows.select("*", F.lag("_end").over(window).alias("_before"))
+        found = seen.where(F.col("_before").isNotNull()).select(
+            *keys, "_slice", F.col("_before").alias("_end")
+        )
+        out = found if out is None else out.unionAll(found)
+        # Upwards goes each group's last end, to be put before the first slice of the next group.
+        rows = rows.groupBy(*group).agg(
+            F.min("_slice").alias("_slice"), F.max_by("_end", "_at").alias("_end")
+        ).withColumnRenamed("_group", "_at")
+    return out

@@ -61,12 +61,31 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def _sort_order(df: DataFrame, keys: Sequence[str], lead: Sequence[str]) -> list[Column]:
+    """The lead columns and the keys, NULLs last, then a hash of the rest: it breaks ties, so that
+    range partitioning can split a key that holds many rows."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in (*lead, *keys)]
+    ties = [F.xxhash64(*rest)] if rest else []
+    return [*[F.col(c).asc_nulls_last() for c in (*lead, *keys)], *ties]
+
+
 def day_sort(df: DataFrame, keys: Sequence[str], lead: Sequence[str] = ("date",)) -> DataFrame:
     """Global sort on the lead columns and the keys, ascending with NULLs last.
 
-    Rows equal on all keys have no promised order among them. A hash of the rest breaks
-    the ties, so that range partitioning can split a key that holds many rows.
+    Rows equal on all keys have no promised order among them.
     """
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in (*lead, *keys)]
-    ties = [F.xxhash64(*rest)] if rest else []
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in (*lead, *keys)], *ties)
+    return df.orderBy(*_sort_order(df, keys, lead))
+
+
+def distinct_sorted(
+    df: DataFrame, keys: Sequence[str], partitions: int, lead: Sequence[str] = ("date",)
+) -> DataFrame:
+    """Full-row distinct in the order of :func:`day_sort`, over so many partitions.
+
+    Each task drops its own copies first. Ranges then hold all copies of a row, as they are cut by
+    the keys and a hash of the rest, so the sort and the distinct share its one shuffle of what is
+    left.
+    """
+    once = distinct_rows(df)
+    order = _sort_order(once, keys, lead)
+    return once.repartitionByRange(partitions, *order).sortWithinPartitions(*order)

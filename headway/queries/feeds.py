@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.feeds import registry
+from headway.feeds import DOUBLE, LONG, STRING, FeedSpec, registry, struct
 from headway.operators.rows import distinct_rows
 from headway.plans.compact import curated_rows
-from headway.queries import query, tables
+from headway.queries import making, query, tables
 from headway.sources import snapshots
 
 
@@ -21,7 +21,7 @@ def with_repeats(payloads: DataFrame) -> DataFrame:
 
 def _curated(entities: DataFrame, feed: str) -> DataFrame:
     spec = registry()[feed]
-    decoded = snapshots.decode(with_repeats(snapshots.pack(entities)), spec)
+    decoded = snapshots.decode(with_repeats(making.pack(entities)), spec)
     return distinct_rows(curated_rows(decoded, spec).drop("hour"))
 
 
@@ -87,3 +87,57 @@ def nested_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         "carriage.occupancy_status",
         "carriage.carriage_sequence",
     )
+
+
+def _with_load(entities: DataFrame) -> DataFrame:
+    return entities.select(
+        *[c for c in entities.columns if c not in ("header_timestamp", "entity")],
+        "header_timestamp",
+        F.col("entity.id").alias("entity_id"),
+        F.col("entity.vehicle.load_kg").alias("load_kg"),
+        F.col("entity.depot.name").alias("depot"),
+        F.col("entity.depot.bays").alias("bays"),
+    )
+
+
+# A feed of one's own: a field more on vehicles, and a message that the definition lacks.
+LOADS = FeedSpec(
+    "vehicle_loads",
+    struct(header_timestamp=LONG, entity_id=STRING, load_kg=DOUBLE, depot=STRING, bays=LONG),
+    ("entity_id", "header_timestamp"),
+    struct(id=STRING, vehicle=struct(load_kg=DOUBLE), depot=struct(name=STRING, bays=LONG)),
+    _with_load,
+    messages={
+        "VehiclePosition": {"load_kg": ("double", 1001)},
+        "FeedEntity": {"depot": ("Depot", 1002)},
+        "Depot": {"name": ("string!", 1), "bays": ("sint64", 2)},
+    },
+)
+
+
+@query(f"""
+    SELECT DISTINCT date, epoch // 3600 * 3600 AS header_timestamp, event_id::VARCHAR AS entity_id,
+           CASE WHEN k % 3 > 0 THEN value END AS load_kg,
+           CASE WHEN k % 4 > 0 THEN event_type END AS depot,
+           CASE WHEN k % 4 > 1 THEN -k END AS bays
+    FROM ({tables.EVENTS})
+""")
+def custom_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed defined here, with wire fields of its own, through the whole pipeline."""
+    k = F.col("k")
+    vehicle = F.struct(F.col("value").alias("load_kg"))
+    depot = F.struct(
+        F.col("event_type").alias("name"), tables.only(k % 4 > 1, -k).alias("bays")
+    )
+    entity = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        tables.only(k % 3 > 0, vehicle).alias("vehicle"),
+        tables.only(k % 4 > 0, depot).alias("depot"),
+    )
+    entities = tables.spread(tables.events(spark, sf_dir), "at").select(
+        "date", "hour", F.expr("epoch div 3600 * 3600").alias("header_timestamp"),
+        entity.cast(LOADS.entity).alias("entity"),
+    )
+    payloads = making.pack(entities, messages=LOADS.messages)
+    decoded = snapshots.decode(with_repeats(payloads), LOADS)
+    return distinct_rows(curated_rows(decoded, LOADS).drop("hour"))

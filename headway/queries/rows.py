@@ -11,37 +11,29 @@ from headway.functions import keys
 from headway.functions.presence import first_text
 from headway.operators import quality, rows
 from headway.operators.capture import drop_unchanged
-from headway.queries import query, tables
+from headway.queries import making, query, tables
 from headway.queries.tables import EVENTS, events, table
 from headway.sources import curated, snapshots
 from headway.sources.shared import shared_folder
 
 
 @query("""
-    SELECT doc_id, source, i AS line_no, length(line)::BIGINT AS line_chars, md5(line) AS line_md5
-    FROM (SELECT doc_id, source, unnest(if(len(kept) = 0, [NULL], kept)) AS line,
-                 unnest(if(len(kept) = 0, [NULL], range(1, len(kept) + 1))) AS i
-          FROM (SELECT *, [x for x in string_split(text, chr(10)) if length(x) > 200] AS kept
-                FROM documents))
+    SELECT o_orderkey, o_custkey, o_orderstatus, l_linenumber AS line_no, l_partkey, l_quantity
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 """)
 def leaf_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long lines of each document; a document without any keeps one row."""
-    long_lines = F.filter(F.split("text", "\n", -1), lambda line: F.length(line) > 200)
-    leaves = F.transform(
-        long_lines, lambda line, i: F.struct((i + 1).cast("long").alias("no"), line.alias("line"))
+    """The lines of each order; an order without any keeps one row."""
+    line = F.struct("l_linenumber", "l_partkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_list(line).alias("lines")
     )
-    out = rows.leaf_outer(
-        table(spark, sf_dir, "documents"),
-        [F.col("doc_id"), F.col("source")],
-        leaves,
-        {"line_no": "no", "line": "line"},
-    )
-    return out.select(
-        "doc_id",
-        "source",
-        "line_no",
-        F.length("line").cast("long").alias("line_chars"),
-        F.md5("line").alias("line_md5"),
+    orders = table(spark, sf_dir, "orders")
+    nested = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
+    return rows.leaf_outer(
+        nested,
+        [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")],
+        F.col("lines"),
+        {"line_no": "l_linenumber", "l_partkey": "l_partkey", "l_quantity": "l_quantity"},
     )
 
 
@@ -179,7 +171,7 @@ def day_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated.write_days(rows.day_sort(keyed, ["k", "event_id"]), path)
     schema = T.StructType([*keyed.schema.fields[1:], keyed.schema.fields[0]])
     written = spark.read.schema(schema).parquet(path)
-    return curated.with_positions(written).withColumn("date", F.col("date").cast("string"))
+    return making.with_positions(written).withColumn("date", F.col("date").cast("string"))
 
 
 KEYED = f"""
@@ -275,7 +267,7 @@ def snapshot_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("epoch").alias("header_timestamp"),
         entity.alias("entity"),
     )
-    payloads = snapshots.pack(attempts, ["feed", "date", "outcome"], max_entities=1)
+    payloads = making.pack(attempts, ["feed", "date", "outcome"], max_entities=1)
     content = (
         F.when(F.col("outcome") == "lost", F.lit(None))
         .when(F.col("outcome") == "empty", F.lit(b""))
@@ -327,7 +319,7 @@ def change_only(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["user_id"],
         ["at", "event_id"],
         "event_type",
-        F.floor(F.col("epoch") / 3600),
+        3600,
     )
     return kept.select("event_id", "user_id", "event_type")
 
@@ -354,7 +346,5 @@ def captured_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys.raw_key(F.col("event_type"), F.col("at")).alias("key"),
         F.sha2(payload, 256).alias("identity"),
     )
-    kept = drop_unchanged(
-        polls, ["feed"], ["at", "event_id"], "identity", F.floor(F.col("epoch") / 60)
-    )
+    kept = drop_unchanged(polls, ["feed"], ["at", "event_id"], "identity", 60)
     return kept.select("feed", "key", "identity")

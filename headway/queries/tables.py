@@ -39,15 +39,13 @@ EVENTS = """
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Rows over all cores, if their table has fewer splits than that; as they are if not.
+    """Rows over as many tasks as a shuffle has.
 
     Ranges keep neighbours together for packing; the hash lets them cut through a value that many
     rows share.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartitionByRange(cores, *by, F.xxhash64(*df.columns))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(tasks, *by, F.xxhash64(*df.columns))
 
 
 def only(condition: Column, value: Column) -> Column:
@@ -66,7 +64,7 @@ def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("T"), number).alias("trip_id"),
         only(kind != "error", kind).alias("route_id"),
         (k % 2).alias("direction_id"),
-        only(k % 5 == 0, F.lit("10:00:00")).alias("start_time"),
+        only(k % 5 == 0, F.lit("05:40:00")).alias("start_time"),
         F.regexp_replace("date", "-", "").alias("start_date"),
         only(k % 4 != 0, F.lit(0)).alias("schedule_relationship"),
     )
@@ -77,7 +75,7 @@ def vehicle_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     position = F.struct(
         (user % 90).alias("latitude"),
-        F.lit(-114.07).cast("float").alias("longitude"),
+        F.lit(8.31).cast("float").alias("longitude"),
         only(k % 2 == 0, F.lit(0.0)).alias("bearing"),
         F.col("value").alias("odometer"),
         (k / 2).alias("speed"),
@@ -123,7 +121,7 @@ VEHICLE_ROWS = f"""
            CASE WHEN k <> 13 AND k % 7 <> 0 THEN 'T' || user_id END AS trip_id,
            CASE WHEN k <> 13 AND k % 7 <> 0 AND event_type <> 'error' THEN event_type END AS route_id,
            CASE WHEN k <> 13 AND k % 7 <> 0 THEN k % 2 END AS direction_id,
-           CASE WHEN k <> 13 AND k % 7 <> 0 AND k % 5 = 0 THEN '10:00:00' END AS start_time,
+           CASE WHEN k <> 13 AND k % 7 <> 0 AND k % 5 = 0 THEN '05:40:00' END AS start_time,
            CASE WHEN k <> 13 AND k % 7 <> 0 THEN replace(date, '-', '') END AS start_date,
            CASE WHEN k <> 13 AND k % 7 <> 0 AND k % 4 <> 0 THEN 0::BIGINT END AS schedule_relationship,
            CASE WHEN k <> 13 THEN user_id::VARCHAR END AS vehicle_id,
@@ -131,7 +129,7 @@ VEHICLE_ROWS = f"""
                 WHEN k <> 13 AND k % 3 = 2 THEN event_type END AS vehicle_label,
            NULL::VARCHAR AS license_plate,
            CASE WHEN k <> 13 AND k % 3 <> 0 THEN (user_id % 90)::DOUBLE END AS latitude,
-           CASE WHEN k <> 13 AND k % 3 <> 0 THEN (-114.07)::FLOAT::DOUBLE END AS longitude,
+           CASE WHEN k <> 13 AND k % 3 <> 0 THEN 8.31::FLOAT::DOUBLE END AS longitude,
            CASE WHEN k <> 13 AND k % 3 <> 0 AND k % 2 = 0 THEN 0.0::DOUBLE END AS bearing,
            CASE WHEN k <> 13 AND k % 3 <> 0 THEN value END AS odometer,
            CASE WHEN k <> 13 AND k % 3 <> 0 THEN k::DOUBLE / 2 END AS speed,
@@ -256,7 +254,8 @@ TRIP_ROWS = """
 
 
 def alert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A conversation turn as an alert: its lines are translations, its number counts the selectors.
+    """A conversation turn as an alert: its lines are translations, its number modulo four counts
+    the selectors.
 
     In the header text, lines of even length have no language; the description tags all.
     """
@@ -279,7 +278,7 @@ def alert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(turn.alias("start"), only(turn % 2 == 0, F.col("conv_id")).alias("end"))
     )
     informed = F.transform(
-        F.sequence(F.lit(1).cast("long"), turn),
+        F.sequence(F.lit(1).cast("long"), F.greatest(turn % 4, F.lit(1))),
         lambda i: F.struct(
             F.lit(None).alias("agency_id"),
             F.concat(F.lit("R"), i).alias("route_id"),
@@ -300,7 +299,7 @@ def alert_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(tagged.alias("translation")).alias("description_text"),
         only(turn == 0, F.struct(F.array().alias("translation"))).alias("url"),
         only(turn > 0, periods).alias("active_period"),
-        only(turn > 0, informed).alias("informed_entity"),
+        only(turn % 4 > 0, informed).alias("informed_entity"),
     )
     entity = F.struct(F.concat_ws("-", "conv_id", "turn").alias("id"), alert.alias("alert"))
     day = F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")
@@ -330,6 +329,6 @@ ALERT_ROWS = """
            CASE WHEN i = 2 THEN '' END AS stop_id,
            CASE WHEN i > 0 THEN i % 2 END AS direction_id
     FROM (SELECT *, string_split(text, chr(10)) AS lines,
-                 unnest(CASE WHEN turn > 0 THEN range(1, turn + 1) ELSE [0::BIGINT] END) AS i
+                 unnest(CASE WHEN turn % 4 > 0 THEN range(1, turn % 4 + 1) ELSE [0::BIGINT] END) AS i
           FROM conversations)
 """

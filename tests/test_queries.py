@@ -4,13 +4,14 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check_sql import compare
+from headway import queries as registered
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(registered.QUERIES) == set(registered.SQL)
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_query_agrees_with_sql(spark, name):
     assert compare(spark, name, "/root/testdata/sf0.001") is None
 

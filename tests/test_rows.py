@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from headway.feeds import CAPTURED_FEEDS, LONG, STRING, FeedSpec, registry, struct, uncurated
 from headway.functions import keys
-from headway.operators import quality, rows
+from headway.operators import capture, quality, rows
 from headway.operators.capture import drop_unchanged
 
 
@@ -80,6 +80,15 @@ def test_day_sort_puts_nulls_last(spark):
     ]
 
 
+def test_distinct_sorted_is_one_shuffle_of_what_is_left(spark, capsys):
+    df = spark.range(3000).selectExpr("'d' AS date", "id % 700 AS k", "id % 2 AS n")
+    out = rows.distinct_sorted(df, ["k"], 4)
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(set(got)) == 700 * 2 // (2 if 700 % 2 == 0 else 1)
+    assert [g[1] for g in got] == sorted(g[1] for g in got)
+    assert out.rdd.getNumPartitions() == 4
+
+
 def test_one_sort_key_spreads_over_partitions(spark):
     df = spark.range(20000).select(F.lit("d").alias("date"), F.lit("hot").alias("k"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
@@ -100,19 +109,17 @@ def _counts(spark, *values):
 
 
 def test_rates(spark):
-    row = quality.completeness(_counts(spark, 4000, 3990, 4, 6), 4320).first()
-    assert row.failed == 10
-    assert f"{row.coverage:.4f}" == "0.9259"
-    assert f"{row.failure_rate:.4f}" == "0.0025"
+    row = quality.completeness(_counts(spark, 1500, 1350, 30, 120), 2000).first()
+    assert (row.failed, row.coverage, row.failure_rate) == (150, 0.75, 0.1)
 
 
 def test_rates_of_nothing_are_zero(spark):
-    row = quality.completeness(_counts(spark, 0, 0, 0, 0), 4320).first()
+    row = quality.completeness(_counts(spark, 0, 0, 0, 0), 96).first()
     assert (row.coverage, row.failure_rate) == (0.0, 0.0)
 
 
 def test_coverage_is_not_clamped(spark):
-    assert quality.completeness(_counts(spark, 8640, 8640, 0, 0), 4320).first().coverage == 2.0
+    assert quality.completeness(_counts(spark, 240, 240, 0, 0), 96).first().coverage == 2.5
 
 
 def test_accounting_adds_up(spark):
@@ -124,7 +131,7 @@ def test_accounting_adds_up(spark):
 
 def _kept(spark, polls, seconds=10):
     df = spark.createDataFrame(polls, "feed string, t long, n long, identity string")
-    out = drop_unchanged(df, ["feed"], ["t", "n"], "identity", F.floor(F.col("t") / seconds))
+    out = drop_unchanged(df, ["feed"], ["t", "n"], "identity", seconds)
     assert out.columns == df.columns
     return sorted((tuple(r) for r in out.collect()), key=str)
 
@@ -154,40 +161,69 @@ def test_slices_do_not_change_the_result(spark, seconds):
     assert _kept(spark, polls, seconds) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("zone", ["UTC", "America/Edmonton"])
+def test_slices_are_carried_over_gaps_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(capture, "GROUP_BITS", 2)
+    times = [0, 1, 5, 6, 40, 41, 300, 5_000, 5_001, 90_000, -7, -3000]
+    polls = [("f", t, 0, "B" if t in (6, 5_000) else "A") for t in times]
+    want, last = [], None
+    for poll in sorted(polls, key=lambda p: p[1]):
+        if poll[3] != last:
+            want.append(poll)
+        last = poll[3]
+    assert _kept(spark, polls, 1) == sorted(want, key=str)
+
+
+def test_no_window_has_all_slices_of_a_key(spark, capsys):
+    df = spark.createDataFrame([("f", 1, 0, "A")], "feed string, t long, n long, identity string")
+    drop_unchanged(df, ["feed"], ["t", "n"], "identity", 10).explain()
+    windows = [line for line in capsys.readouterr().out.splitlines() if "windowspecdefinition(" in line]
+    assert windows
+    assert all("windowspecdefinition(feed#" in w and ("_group#" in w or "_slice#" in w) for w in windows)
+
+
+def test_time_slices(spark):
+    df = spark.sql(
+        "select * from values ('f', timestamp'2025-12-04 00:00:01', 'A'), ('f', timestamp'2025-12-04 09:00:00', 'A'),"
+        " ('f', timestamp'2025-12-05 00:00:00', 'B'), ('f', null, 'B') as t(feed, t, identity)"
+    )
+    kept = drop_unchanged(df, ["feed"], ["t"], "identity", 3600)
+    assert sorted(str(r.t) for r in kept.collect()) == ["2025-12-04 00:00:01", "2025-12-05 00:00:00", "None"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kathmandu"])
 def test_key_of_a_capture_time(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        at = F.timestamp_micros(F.lit(1_767_229_200_900_000))
-        key = keys.raw_key(F.lit("test-source"), at, "test")
+        at = F.timestamp_micros(F.lit(1_764_849_659_999_999))
+        key = keys.raw_key(F.lit("ferries"), at, "bin")
         parts = spark.range(1).select(
             key.alias("key"), keys.date_of(key), keys.hour_of(key), keys.captured_epoch(key)
         )
         assert parts.first() == (
-            "raw/test-source/2026/01/01/01/test-source_1767229200.test",
-            "2026-01-01",
-            "01",
-            1767229200,
+            "raw/ferries/2025/12/04/12/ferries_1764849659.bin",
+            "2025-12-04",
+            "12",
+            1764849659,
         )
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_prefixes():
-    day = dt.date(2026, 3, 9)
-    assert keys.raw_prefix("vehicle_positions", day) == "raw/vehicle_positions/2026/03/09/"
-    assert keys.curated_path("vehicle_positions", day) == "curated/vehicle_positions/date=2026-03-09"
+    day = dt.date(2025, 11, 2)
+    assert keys.raw_prefix("vehicle_positions", day) == "raw/vehicle_positions/2025/11/02/"
+    assert keys.curated_path("vehicle_positions", day) == "curated/vehicle_positions/date=2025-11-02"
 
 
 def test_hour_prefix(spark):
-    df = spark.createDataFrame([("raw/f/2026/03/09/10/a.pb",), ("raw/f/2026/03/09/11/b.pb",)], "key string")
+    df = spark.createDataFrame([("raw/f/2025/11/02/10/a.pb",), ("raw/f/2025/11/02/11/b.pb",)], "key string")
     got = [r[0] for r in df.select(keys.hour_prefix(F.col("key"))).collect()]
-    assert got == ["raw/f/2026/03/09/10", "raw/f/2026/03/09/11"]
+    assert got == ["raw/f/2025/11/02/10", "raw/f/2025/11/02/11"]
 
 
 def test_capture_time_of_odd_keys(spark):
     names = ["a_17.pb", "a.pb", "a_99999999999999999999.pb", "b_1_2.tar.pb", "b_1_2.pb"]
-    df = spark.createDataFrame([(f"raw/f/2026/03/09/10/{n}",) for n in names], "key string")
+    df = spark.createDataFrame([(f"raw/f/2025/11/02/10/{n}",) for n in names], "key string")
     got = [r[0] for r in df.select(keys.captured_epoch(F.col("key"))).collect()]
     assert got == [17, None, None, None, 2]

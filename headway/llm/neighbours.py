@@ -141,6 +141,9 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
     No nodes, or one, have no links."""
     first = nodes.first()
     dim = len(first["vector"]) if first else 0
+    # A few stretches to a task at least, so that no node is alone in one.
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(tasks, nodes.count() // (4 * STRETCH)))
     random = np.random.default_rng(seed)
     start = None
     for _ in range(PROJECTIONS):
@@ -148,7 +151,6 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
         along = F.aggregate(
             F.zip_with("vector", direction, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x
         )
-        tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         sorted_ = nodes.repartitionByRange(tasks, along, "node").sortWithinPartitions(along, "node")
         part = sorted_.mapInArrow(_stretches(degree, STRETCH), LINKS)
         start = part if start is None else start.unionAll(part)

@@ -205,7 +205,8 @@ def near_duplicates(
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
     )
     # Each node goes to every pair of blocks that its own is one of.
-    dealt = content.join(placed, key).withColumn(
+    # Candidates grow with the corpus, so their texts are shuffled at any size.
+    dealt = content.join(placed.hint("merge"), key).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     ).select(
         "node", "group", "block", "content",

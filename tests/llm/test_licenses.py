@@ -1,0 +1,77 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from headway.llm import licenses
+from headway.llm.words import WordSplitter, shingles
+
+MIT, NOTICE = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["GPL-3.0 notice"]
+
+
+def found(df, **options):
+    return sorted(tuple(r) for r in licenses.scan(df, **options).collect())
+
+
+def prose(n, seed):
+    return " ".join(random.Random(seed).choices(["lorem", "ipsum", "dolor", "sit", "amet", "elit"], k=n))
+
+
+def test_passages_are_found_where_they_are(documents):
+    before = prose(333, 1) + ". "
+    texts = [
+        before + MIT + " " + prose(50, 2), NOTICE + ".", f"é {NOTICE.upper()}!", prose(500, 3), None, "",
+        f"{NOTICE} {prose(90, 4)} {NOTICE}", MIT.replace("Software", "program", 1), "MIT",
+    ]
+    got = found(documents(texts))
+    by = {}
+    for doc, name, start, end, share in got:
+        by.setdefault(doc, []).append((name, texts[doc][start:end], round(share, 2)))
+    end = lambda t: t.rstrip(".")
+    assert by.pop(0) == [("MIT", end(MIT), 1.0)]
+    assert by.pop(1) == [("GPL-3.0 notice", NOTICE, 1.0)]
+    assert by.pop(2) == [("GPL-3.0 notice", NOTICE.upper(), 1.0)]
+    assert by.pop(6) == [("GPL-3.0 notice", NOTICE, 1.0)] * 2
+    assert by.pop(7)[0][0] == "MIT" and not by
+
+
+@pytest.mark.parametrize("at", range(0, 40, 3))
+def test_no_place_is_missed(documents, at):
+    text = prose(at, 5) + " " + MIT + " " + prose(200 - at, 6)
+    assert [r[1] for r in found(documents([text, text]))] == ["MIT", "MIT"]
+
+
+def test_half_a_template_is_not_one(documents):
+    words = MIT.split()
+    assert found(documents([" ".join(words[: len(words) // 2])])) == []
+    assert found(documents([MIT]), templates={}) == []
+
+
+def test_windows_of_brute_force_meet():
+    """Every passage that holds enough of a template meets it in some band."""
+    rnd = random.Random(8)
+    words, templates = MIT.split(), licenses.Templates({"MIT": MIT})
+    missed = 0
+    for _ in range(60):
+        edited = list(words)
+        for at in rnd.sample(range(len(words)), 4):
+            edited[at] = "other"
+        text = f"{prose(rnd.randint(0, 60), rnd.random())} {' '.join(edited)} {prose(rnd.randint(0, 60), rnd.random())}"
+        split = WordSplitter().split([text.encode().translate(licenses._PLAIN)])
+        hashes, owner = shingles(split, licenses.K)
+        share = len(np.intersect1d(hashes, templates.sets[0])) / len(templates.sets[0])
+        assert share >= 0.8
+        missed += not any(True for _ in licenses._windows(templates, hashes, owner))
+    assert missed == 0
+
+
+def test_empty_table_and_empty_template(empty):
+    assert found(empty) == []
+    with pytest.raises(ValueError, match="words"):
+        licenses.Templates({"none": " .,"})
+
+
+def test_words_are_letters_and_digits():
+    plain = "CC BY-NC_4.0 Ünï".encode().translate(licenses._PLAIN).decode()
+    assert plain.split() == re.findall(r"[a-z0-9\x80-\uffff]+", "cc by nc 4 0 Ünï")

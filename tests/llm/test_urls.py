@@ -1,0 +1,86 @@
+import re
+
+import pytest
+
+from headway.llm import urls
+
+URLS = [
+    None, "", "no scheme", "http://", "HTTP://Example.ORG", "http://example.org/es/1", "https://a.example.org/en/1x",
+    "https://a.example.org/en/2", "http://x.com/fr/", "http://x.com/de/a", "http://x.com?q=/de/", "ftp://com/de/#f",
+    "http://xcom/de/", "a://b://example.org/es/", "http://ÄB.org/?x://y.com/de/", "http://casino-win.net/a#b",
+    "http://x.org\n/fr/", "http://notexample.org/es/q",
+]
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+         ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def brute(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split("[/?#]", rest, maxsplit=1)[0]
+        path = re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h + p), h + p, v) for v, h, p in RULES
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, max(fits)[1:] if fits else None
+
+
+def test_rules_against_brute_force(spark):
+    pages = spark.createDataFrame([(i, u, "<p>some words</p>") for i, u in enumerate(URLS)],
+                                  "page_id long, url string, html string")
+    rows = {r.page_id: r for r in urls.judge(pages).collect()}
+    assert len(rows) == len(URLS)
+    for i, url in enumerate(URLS):
+        host, path, rule = brute(url)
+        assert (rows[i].host, rows[i].path) == (host, path), url
+        assert rows[i].rule == (rule[0] if rule else None), url
+        if rule:
+            assert rows[i].verdict == rule[1]
+        assert rows[i].verdict in ("allow", "block")
+
+
+@pytest.mark.parametrize(
+    "name, words",
+    [
+        ("cheapbookstore", ["cheap", "book", "store"]), ("bookstore", ["book", "store"]),
+        ("qqbook", ["qq", "book"]), ("xyz", ["xyz"]), ("", []), ("bookzz", ["book", "zz"]),
+    ],
+)
+def test_segmentation(name, words):
+    logs = {"book": -2.0, "store": -3.0, "cheap": -3.5, "books": -4.0, "tore": -9.0, "on": -2.5}
+    assert urls.Segmenter(logs).split(name) == words
+
+
+def test_segmentation_is_the_likeliest_of_all_splits():
+    logs = {"ab": -1.0, "a": -2.0, "b": -2.5, "aba": -2.2, "bab": -2.9}
+    best = urls.Segmenter(logs)
+
+    def every(name):
+        if not name:
+            yield []
+        for n in range(1, len(name) + 1):
+            if name[:n] in logs:
+                yield from ([name[:n], *rest] for rest in every(name[n:]))
+
+    for name in ("ababab", "aabb", "babab", "abaab"):
+        want = max(sum(logs[w] for w in split) for split in every(name))
+        assert sum(logs[w] for w in best.split(name)) == pytest.approx(want)
+
+
+def test_classifier_learns_words_that_go_along_with_seeds(spark):
+    bad = [f"http://casino{i}.net/jackpot/{i}" for i in range(40)] + ["http://spamjackpot.net/jackpot/x"] * 10
+    good = [f"http://garden{i}.net/roses/{i}" for i in range(40)]
+    html = "<p>" + "casino jackpot garden roses spam " * 3 + "</p>"
+    asked = ["http://jackpot.net/jackpot/", "http://garden.net/roses/"]
+    rows = [(i, u, html) for i, u in enumerate([*bad, *good, *asked, asked[0], None])]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), ()).collect()}
+    verdicts = [got[i].verdict for i in range(len(rows))]
+    assert verdicts[:50] == ["block"] * 50 and verdicts[50:90] == ["allow"] * 40
+    assert verdicts[90:] == ["block", "allow", "block", "allow"] or verdicts[90:93] == ["block", "allow", "block"]
+    assert got[0].rule is None and "casino" in got[0].words
+
+
+def test_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert urls.judge(pages).collect() == []

@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from headway.llm.stage import slices
 
 ORDER = 4
-# Labelled texts of a language that its model is learned from, and that calibrate rejection: those
-# of smallest hash.
-SAMPLE_TEXTS = 1_200
-CALIBRATION_TEXTS = 300
+# Labelled texts of a language that are looked at, those of smallest hash. Its model is learned from
+# them but for every fifth, which calibrates rejection.
+SAMPLE_TEXTS = 1_500
+CALIBRATES = 5
 # Share of a language's own calibration texts that would be rejected.
 REJECTED = 0.005
 # Symbols of evidence that the score stands for.
@@ -224,10 +224,10 @@ def learn(labelled: DataFrame) -> Model | None:
     chosen = (
         labelled.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
         .select("doc_id", "lang").withColumn("rank", rank)
-        .where(F.col("rank") <= SAMPLE_TEXTS + CALIBRATION_TEXTS)
+        .where(F.col("rank") <= SAMPLE_TEXTS)
     )
     texts = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).select(
-        "lang", "text", (F.col("rank") > SAMPLE_TEXTS).alias("calibrates")
+        "lang", "text", (F.col("rank") % CALIBRATES == 0).alias("calibrates")
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

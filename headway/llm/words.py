@@ -45,22 +45,31 @@ class WordSplitter:
         sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
         offsets = np.cumsum(sizes) - sizes
         n = len(raw)
-        if len(self.up) < n:
-            self.up, self.down = np.full(n, _BASE), np.full(n, pow(int(_BASE), -1, 1 << 64), np.uint64)
-            self.up[:1] = self.down[:1] = 1
-            self.up, self.down = np.cumprod(self.up), np.cumprod(self.down)
         space = SPACE[raw]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if n and not space[0]:
             edge = np.r_[0, edge]
         start, end = edge[::2], edge[1::2]
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self.table[raw] * self.up[:n], out=sums[1:])
-        hashed = mixed((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+        hashed = np.empty(len(start), dtype=np.uint64)
+        # Words of some 1 MB at a time, as their bytes are spread to 64 bits each.
+        cuts = np.unique(np.r_[np.searchsorted(start, np.arange(0, n, 1 << 20)), len(start)])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            hashed[a:b] = self._hashes(raw[start[a] : end[b - 1]], start[a:b] - start[a], end[a:b] - start[a])
         first = np.searchsorted(start, np.r_[offsets, n])
         text = np.repeat(np.arange(len(texts)), np.diff(first))
         return Words(raw, offsets, text, start, end, hashed, first)
 
+    def _hashes(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        n = len(raw)
+        if len(self.up) < n:
+            inverse = pow(int(_BASE), -1, 1 << 64)
+            self.up, self.down = np.full(n, _BASE), np.full(n, inverse, dtype=np.uint64)
+            self.up[:1] = self.down[:1] = 1
+            self.up, self.down = np.cumprod(self.up), np.cumprod(self.down)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self.table[raw] * self.up[:n], out=sums[1:])
+        return mixed((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
 
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each ``k`` successive words and the text it belongs to; a text of fewer words, but

@@ -1,10 +1,13 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-Equal vectors are one node. The graph starts with neighbours along a few random projections, each
-cut into short stretches. In each round the vectors of a node's neighbours, in either direction,
-meet at that node: they are neighbours of neighbours, each other's likely neighbours. A pair is
-looked at if one of the two links is new, and given on if it is nearer than a neighbour that one
-of the pair has. Rounds end when few links change.
+Equal vectors are one node. Graph and search order distances by vectors of 16-bit floats, as these
+go through every shuffle; what is found is ranked by the vectors as they are.
+
+The graph starts with neighbours in several orders of the nodes, by signs of random projections,
+each cut into short stretches. In each round the vectors of a node's neighbours, in either
+direction, meet at that node: they are neighbours of neighbours, each other's likely neighbours. A
+pair is looked at if one of the two links is new, and given on if it is nearer than a neighbour that
+one of the pair has. Rounds end when few links change.
 
 A query is a node. Its search keeps the nearest nodes found and opens those that are not open yet,
 all at once, until the nearest ones are all open.
@@ -20,20 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headway.llm.stage import staged
+from headway.llm.stage import discard, staged
 
 # Links kept for each node, and links to it that are looked at in a round (the nearest ones).
-DEGREE = 14
-BACK = 14
-# Nodes of a stretch of a projection that are compared in the first graph, and the projections.
+DEGREE = 20
+BACK = 20
+# Nodes of a stretch that are compared in the first graph, and the orders that are cut.
 STRETCH = 256
-PROJECTIONS = 3
-ROUNDS = 10
+ORDERS = 24
+ROUNDS = 8
 # Rounds end when less than this share of the links is new.
-SETTLED = 0.005
+SETTLED = 0.01
 # Nodes that a search keeps.
-BEAM = 48
-SEARCH_ROUNDS = 12
+BEAM = 256
+SEARCH_ROUNDS = 16
 
 
 def usable(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
@@ -58,12 +61,54 @@ def _nearest(rows: DataFrame, of: str, by: list, n: int) -> DataFrame:
     return rows.withColumn("place", order).where(F.col("place") <= n).drop("place")
 
 
-def _matrix(lists: pa.ListArray) -> np.ndarray:
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 0)
+def _matrix(codes: pa.Array) -> np.ndarray:
+    """Vectors of 16-bit floats as rows."""
+    if not len(codes):
+        return np.zeros((0, 0), dtype=np.float32)
+    flat = np.frombuffer(b"".join(codes.to_pylist()), dtype="<f2")
+    return flat.reshape(len(codes), -1).astype(np.float32)
+
+
+def _coded(nodes: DataFrame) -> DataFrame:
+    """Nodes with their vectors as 16-bit floats, scaled by the largest component of all."""
+    largest = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0] or 1.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = batch.column("vector")
+            flat = vectors.flatten().to_numpy(zero_copy_only=False) / largest
+            rows = flat.reshape(len(vectors), -1).astype("<f2")
+            codes = pa.array([row.tobytes() for row in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), codes], ["node", "code"])
+
+    return staged(nodes.mapInArrow(run, "node long, code binary"), "codes")
+
 
+LINKS = "u long, v long, d float"
 
-LINKS = "u long, v long, d double"
+
+def _orders(orders: int, bits: int, seed: int):
+    """Each node once for each order, with its place there: the signs of random projections, then
+    one more projection."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        random, planes = np.random.default_rng(seed), None
+        for batch in batches:
+            x = _matrix(batch.column("code"))
+            if planes is None:
+                planes = random.standard_normal((orders, x.shape[1], bits + 1), dtype=np.float32)
+            for order in range(orders):
+                along = x @ planes[order]
+                cell = (along[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "order": np.full(len(x), order, dtype=np.int32), "cell": cell,
+                        "along": along[:, bits], "node": batch.column("node"),
+                        "code": batch.column("code"),
+                    }
+                )
+
+    return run
 
 
 def _stretches(degree: int, stretch: int):
@@ -72,24 +117,21 @@ def _stretches(degree: int, stretch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node").to_numpy()
-            vectors = _matrix(batch.column("vector"))
+            vectors = _matrix(batch.column("code"))
             # The last stretch reaches back, so that none is short unless all are.
             for start in range(0, len(nodes), stretch):
                 start = max(0, min(start, len(nodes) - stretch))
                 node, x = nodes[start : start + stretch], vectors[start : start + stretch]
                 d = _distances(x[None])[0]
-                np.fill_diagonal(d, np.inf)
+                d[node[:, None] == node[None, :]] = np.inf
                 n = min(degree, len(node) - 1)
                 if n < 1:
                     continue
                 best = np.argpartition(d, n - 1, axis=1)[:, :n]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "u": np.repeat(node, n),
-                        "v": node[best.ravel()],
-                        "d": np.take_along_axis(d, best, axis=1).ravel(),
-                    }
-                )
+                near = np.take_along_axis(d, best, axis=1).ravel()
+                u, v = np.repeat(node, n), node[best.ravel()]
+                real = np.isfinite(near)
+                yield pa.RecordBatch.from_pydict({"u": u[real], "v": v[real], "d": near[real]})
 
     return run
 
@@ -101,59 +143,50 @@ def _distances(x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
-def _local_joins(dim: int):
+def _local_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of the nodes that meet at a node, where one of the two links is new and the pair is
     nearer than the farthest neighbour of one of its nodes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                met = batch.column("met")
-                sizes = met.value_lengths().to_numpy()
-                flat = met.flatten()
-                width = int(sizes.max())
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-                def padded(values, fill, shape=(), kind=None):
-                    out = np.full((len(sizes), width, *shape), fill, dtype=kind or values.dtype)
-                    out[row, column] = values
-                    return out
-
-                node = padded(flat.field("node").to_numpy(), -1)
-                fresh = padded(flat.field("fresh").to_numpy(zero_copy_only=False), False)
-                far = padded(flat.field("far").to_numpy(), -1.0)
-                x = padded(_matrix(flat.field("vector")), 0.0, (dim,))
-                d = _distances(x)
-                ok = (node[:, :, None] != node[:, None, :]) & (node[:, :, None] >= 0)
-                ok &= (node[:, None, :] >= 0) & (fresh[:, :, None] | fresh[:, None, :])
-                # Each order of a pair is one row, for the node whose neighbours it may change.
-                ok &= d < far[:, :, None]
-                i, a, b = np.nonzero(ok)
-                yield pa.RecordBatch.from_pydict({"u": node[i, a], "v": node[i, b], "d": d[i, a, b]})
-
-    return run
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            met = whole.slice(at, 256).column("met")
+            sizes = met.value_lengths().to_numpy()
+            flat = met.flatten()
+            width = int(sizes.max())
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+            def padded(values, fill, shape=()):
+                out = np.full((len(sizes), width, *shape), fill, dtype=values.dtype)
+                out[row, column] = values
+                return out
+
+            node = padded(flat.field("node").to_numpy(), -1)
+            fresh = padded(flat.field("fresh").to_numpy(zero_copy_only=False), False)
+            far = padded(flat.field("far").to_numpy(), -1.0)
+            vectors = _matrix(flat.field("code"))
+            d = _distances(padded(vectors, 0.0, vectors.shape[1:]))
+            ok = (node[:, :, None] != node[:, None, :]) & (node[:, :, None] >= 0)
+            ok &= (node[:, None, :] >= 0) & (fresh[:, :, None] | fresh[:, None, :])
+            # Each order of a pair is one row, for the node whose neighbours it may change.
+            ok &= d < far[:, :, None]
+            i, a, b = np.nonzero(ok)
+            yield pa.RecordBatch.from_pydict({"u": node[i, a], "v": node[i, b], "d": d[i, a, b]})
 
 
 def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFrame:
-    """The neighbour graph of ``nodes`` (node, vector), u, v, d: the nearest nodes found for each.
-    No nodes, or one, have no links."""
-    first = nodes.first()
-    dim = len(first["vector"]) if first else 0
-    # A few stretches to a task at least, so that no node is alone in one.
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(tasks, nodes.count() // (4 * STRETCH)))
-    random = np.random.default_rng(seed)
-    start = None
-    for _ in range(PROJECTIONS):
-        direction = F.array(*map(F.lit, random.standard_normal(dim).tolist()))
-        along = F.aggregate(
-            F.zip_with("vector", direction, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x
-        )
-        sorted_ = nodes.repartitionByRange(tasks, along, "node").sortWithinPartitions(along, "node")
-        part = sorted_.mapInArrow(_stretches(degree, STRETCH), LINKS)
-        start = part if start is None else start.unionAll(part)
+    """The neighbour graph of ``nodes`` (node, code), u, v, d: the nearest nodes found for each. No
+    nodes, or one, have no links."""
+    n = nodes.count()
+    # Cells of the signs hold half a stretch or so. A task gets a few stretches at least, so that no
+    # node is alone in one.
+    bits = max(1, min(40, int(np.log2(max(2, 2 * n / STRETCH)))))
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
+    tasks = max(1, min(tasks, n * ORDERS // (4 * STRETCH)))
+    place = ["order", "cell", "along", "node"]
+    dealt = nodes.mapInArrow(
+        _orders(ORDERS, bits, seed), "order int, cell long, along float, node long, code binary"
+    ).repartitionByRange(tasks, *place).sortWithinPartitions(*place)
+    start = dealt.mapInArrow(_stretches(degree, STRETCH), LINKS)
     graph = _merged(start.withColumn("fresh", F.lit(True)), degree, "graph0")
     total = max(1, graph.count())
     for number in range(1, ROUNDS + 1):
@@ -161,7 +194,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
             F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far")
         )
         held = nodes.join(far, nodes["node"] == far["u"], "left").select(
-            "node", "vector", F.coalesce("far", F.lit(float("inf"))).alias("far")
+            "node", "code", F.coalesce("far", F.lit(float("inf"))).cast("float").alias("far")
         )
         back = _nearest(
             graph.select(F.col("v").alias("at"), F.col("u").alias("node"), "d", "fresh"),
@@ -172,12 +205,13 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
             .unionAll(back).groupBy("at", "node").agg(F.max("fresh").alias("fresh"))
         )
         met = meet.join(held, "node").groupBy("at").agg(
-            F.collect_list(F.struct("node", "fresh", "far", "vector")).alias("met"),
+            F.collect_list(F.struct("node", "fresh", "far", "code")).alias("met"),
             F.max("fresh").alias("fresh"),
         ).where("fresh").select("met")
-        found = met.mapInArrow(_local_joins(dim), LINKS).withColumn("fresh", F.lit(True))
-        old = graph.withColumn("fresh", F.lit(False))
+        found = met.mapInArrow(_local_joins, LINKS).withColumn("fresh", F.lit(True))
+        old, before = graph.withColumn("fresh", F.lit(False)), graph
         graph = _merged(old.unionAll(found), degree, f"graph{number}")
+        discard(before)
         if graph.where("fresh").count() < SETTLED * total:
             break
     return graph.drop("fresh")
@@ -195,31 +229,42 @@ def _between(a: str, b: str):
     ))
 
 
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        d = _matrix(batch.column("code")) - _matrix(batch.column("goal"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("query"), batch.column("node"), pa.array(np.sqrt((d * d).sum(axis=1)))],
+            ["query", "node", "d"],
+        )
+
+
 def search_graph(graph: DataFrame, nodes: DataFrame, asked: DataFrame, beam: int = BEAM):
-    """The nearest nodes found for each of ``asked`` (a column node): query, node, d; the query
-    itself, at distance 0, is one of them."""
+    """The nearest nodes found for each of ``asked`` (a column node): query, node; the query itself
+    is one of them. ``nodes`` have node and code."""
     ways = graph.select(F.col("u").alias("node"), F.col("v").alias("next")).unionAll(
         _nearest(graph, "v", ["d", "u"], BACK).select(F.col("v").alias("node"), F.col("u").alias("next"))
     ).distinct()
     ways = staged(ways, "ways")
     asked = staged(asked.select("node").distinct().join(nodes, "node"), "asked")
-    of = asked.select(F.col("node").alias("query"), F.col("vector").alias("goal"))
+    of = asked.select(F.col("node").alias("query"), F.col("code").alias("goal"))
     found = asked.select(
-        F.col("node").alias("query"), "node", F.lit(0.0).alias("d"), F.lit(False).alias("open")
+        F.col("node").alias("query"), "node", F.lit(0.0).cast("float").alias("d"),
+        F.lit(False).alias("open"),
     )
     for number in range(SEARCH_ROUNDS):
         # An open node has given its ways; one met again keeps that mark.
         new = (
             found.where("NOT open").join(ways, "node").select("query", F.col("next").alias("node"))
             .distinct().join(found, ["query", "node"], "left_anti")
-            .join(nodes, "node").join(of, "query")
-            .select("query", "node", _between("vector", "goal").alias("d"), F.lit(False).alias("open"))
+            .join(nodes, "node").join(of, "query").select("query", "node", "code", "goal")
+            .mapInArrow(_measured, "query long, node long, d float")
+            .withColumn("open", F.lit(False))
         )
         met = found.withColumn("open", F.lit(True)).unionAll(new)
         found = staged(_nearest(met, "query", ["d", "node"], beam), f"beam{number}")
         if found.where("NOT open").isEmpty():
             break
-    return found.drop("open")
+    return found.select("query", "node")
 
 
 def nearest(
@@ -240,7 +285,12 @@ def nearest(
     )
     asked = members.join(queries.select(F.col(id_).cast("long").alias("id")).distinct(), "id")
     nodes = nodes.select("node", "vector")
-    found = search_graph(build_graph(nodes), nodes, asked)
+    codes = _coded(nodes)
+    met = search_graph(build_graph(codes), codes, asked)
+    goal = nodes.select(F.col("node").alias("query"), F.col("vector").alias("goal"))
+    found = met.join(nodes, "node").join(goal, "query").select(
+        "query", "node", _between("vector", "goal").alias("d")
+    )
     # Of equal vectors only the smallest k + 1 ids can be among the k nearest.
     few = _nearest(members, "node", ["id"], k + 1)
     listed = _nearest(

@@ -118,20 +118,30 @@ def _stretches(degree: int, stretch: int):
         for batch in batches:
             nodes = batch.column("node").to_numpy()
             vectors = _matrix(batch.column("code"))
-            # The last stretch reaches back, so that none is short unless all are.
-            for start in range(0, len(nodes), stretch):
-                start = max(0, min(start, len(nodes) - stretch))
-                node, x = nodes[start : start + stretch], vectors[start : start + stretch]
+            order = batch.column("order").to_numpy()
+            ends = np.flatnonzero(np.r_[order[1:] != order[:-1], True]) + 1
+            # An order's last stretch reaches back, so that none is short unless all are.
+            cuts = [
+                max(first, min(at, end - stretch))
+                for first, end in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)
+                for at in range(first, end, stretch)
+            ]
+            for start in cuts:
+                end = int(ends[np.searchsorted(ends, start, side="right")])
+                stop = min(start + stretch, end)
+                node, x = nodes[start:stop], vectors[start:stop]
                 d = _distances(x[None])[0]
-                d[node[:, None] == node[None, :]] = np.inf
+                np.fill_diagonal(d, np.inf)
                 n = min(degree, len(node) - 1)
                 if n < 1:
                     continue
                 best = np.argpartition(d, n - 1, axis=1)[:, :n]
-                near = np.take_along_axis(d, best, axis=1).ravel()
-                u, v = np.repeat(node, n), node[best.ravel()]
-                real = np.isfinite(near)
-                yield pa.RecordBatch.from_pydict({"u": u[real], "v": v[real], "d": near[real]})
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "u": np.repeat(node, n), "v": node[best.ravel()],
+                        "d": np.take_along_axis(d, best, axis=1).ravel(),
+                    }
+                )
 
     return run
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.bpe import LONG_WORD, MergeTable, byte_names, id_bytes
 from headway.llm.lexicon import Lexicon, compile_lexicon
-from headway.llm.stage import slices
+from headway.llm.stage import most_frequent, slices
 
 # Words of the lexicon, the most frequent ones. Its size bounds what is broadcast; results do not
 # depend on it.
@@ -66,7 +66,6 @@ class Encoder:
         self.lexicon = lexicon
         self.line_break = self.by_library("\n")
         self.known: dict[str, bytes] = {}
-        self.known_pretokens: dict[str, bytes] = {}
 
     def by_library(self, text: str) -> bytes:
         return id_bytes(np.array(self.library.encode(text, add_special_tokens=False).ids))
@@ -203,7 +202,7 @@ def build_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) ->
     """The lexicon of the ``size`` most frequent words of ``text``, ties by word; empty without
     texts."""
     frequent = word_counts(docs).where("length(word) BETWEEN 1 AND 64 AND word != '\n'")
-    top = frequent.orderBy(F.desc("n"), "word").limit(size).collect()
+    top = most_frequent(frequent, ["word"], size).collect()
     words = [row["word"] for row in top if not _UNEVEN.search(row["word"])]
     ids = Encoder(tokenizer).merge(words)
     return compile_lexicon(

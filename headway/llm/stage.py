@@ -31,9 +31,40 @@ def as_id(key: str | Column) -> Column:
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table as Parquet and reads it again: lineage ends there, and it is computed once."""
-    path = shared_folder(df.sparkSession, purpose)
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Spark removes the shuffle files of a finished job when the driver collects its garbage, which
+    # it may not do for half an hour; a job of many stages would hold all of them until then.
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of staged tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(path, True)
+
+
+def most_frequent(counts: DataFrame, by: list[str], size: int) -> DataFrame:
+    """The ``size`` rows of highest ``n``, ties in order of ``by``.
+
+    Every task of a sort with a limit sends that many rows to the driver. So rows that cannot be
+    among them go first, by a histogram of 16 steps to the power of two.
+    """
+    counts = staged(counts, "counts")
+    step = F.floor(F.log2("n") * 16)
+    seen, least = 0, 0
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        seen, least = seen + row["count"], row["step"]
+        if seen >= size:
+            break
+    return counts.where(step >= least).orderBy(F.desc("n"), *by).limit(size)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:

@@ -11,11 +11,16 @@ bytes, and the name of twice the length is made from the names at a place and at
 2. Refinement of runs. A run is named by the ``depth``-byte names of its first and last window,
    which cover it. Where two runs of a bucket agree, all their windows repeat: inside copies and
    passages one row stands for hundreds of windows.
-3. Refinement of windows. Where a bucket holds different runs, each different run lists the names
-   of its windows, and a window whose name comes again repeats. Runs settled before count twice.
-
-Names have 128 bits. All rounds are joins and counts over rows of a few numbers, pre-aggregated
-before each shuffle; a bucket or a text's copies never meet in one task.
+3. Refinement of stretches. Where a bucket holds different runs, each different run is cut into
+   stretches of ``STRETCH`` windows, counted from the pointer. All windows of a stretch hold its
+   core, nearly as long as a window. The core's name is its new bucket, and stretches are named,
+   compared and settled as runs were.
+4. Refinement of windows. Only where one core has different stretches, at the ends of passages,
+   each different stretch lists the names of its windows.
+
+What was settled before counts twice in a later round. Names have 128 bits with their bucket's. All
+rounds are joins and counts over rows of a few numbers, pre-aggregated before each shuffle; a
+bucket or a text's copies never meet in one task.
 """
 
 from __future__ import annotations
@@ -27,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.stage import as_id, id_key, staged
+from headway.llm.stage import as_id, discard, id_key, staged
 
 DEPTH = 400
 Q = 64
+# Windows of a stretch.
+STRETCH = 16
 # Bytes worked on at a time; a longer text is cut into parts that overlap by a window, which may
 # cut a run in two but loses no window.
 PART = 1 << 20
@@ -122,7 +129,16 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-RUN_SCHEMA = "doc_id long, text_key long, low long, high long, bucket long, name_a long, name_b long"
+PLACES = "doc_id long, text_key int, low int, high int, pointer int"
+RUN_SCHEMA = f"{PLACES}, bucket long, name long"
+
+
+def _name_of_span(names: Names, short: np.ndarray, low: np.ndarray, high: np.ndarray, lane: int):
+    """Names of the bytes from window ``low`` to the end of window ``high``, less than a window
+    on."""
+    spread = (high - low).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+    mix = _LANES[lane][0]
+    return _mixed(names.long(short, low, lane) * mix + names.long(short, high, lane) + spread)
 
 
 def _run_finder(depth: int):
@@ -159,118 +175,191 @@ def _run_finder(depth: int):
             owner = np.searchsorted(starts, low, side="right") - 1
             last = starts[owner] + n_windows[owner] - 1
             high = np.minimum(np.r_[low[1:] - 1, len(pointer) - 1], last)
-            short_b = names.short(raw, 1)
-            spread = (high - low).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
-            ids = [
-                _mixed(
-                    names.long(grams, low, lane) * _LANES[lane][0]
-                    + names.long(grams, high, lane) + spread
-                )
-                for lane, grams in enumerate((short, short_b))
-            ]
             shift = np.array(froms, dtype=np.int64) - starts
+            columns = {
+                "low": low + shift[owner], "high": high + shift[owner],
+                "pointer": pointer[low] + shift[owner],
+            }
+            # The bucket has the first lane, the name the second.
+            name = _name_of_span(names, names.short(raw, 1), low, high, 1)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": np.array([k[0] for k in keys], dtype=np.int64)[owner],
-                    "text_key": np.array([k[1] for k in keys], dtype=np.int64)[owner],
-                    "low": low + shift[owner],
-                    "high": high + shift[owner],
-                    "bucket": _signed(short[pointer[low]]),
-                    "name_a": _signed(ids[0]),
-                    "name_b": _signed(ids[1]),
+                    "text_key": np.array([k[1] for k in keys], dtype=np.int32)[owner],
                 }
+                | {c: v.astype(np.int32) for c, v in columns.items()}
+                | {"bucket": _signed(short[pointer[low]]), "name": _signed(name)}
             )
 
     return run
 
 
-WINDOW_SCHEMA = "doc_id long, text_key long, place long, weight int, name_a long, name_b long"
+ASKED = ("low", "high", "pointer", "weight")
 
 
-def _window_lister(depth: int):
+def _asked_parts(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple]:
+    """Asked spans of windows with the bytes around them, many at a time: a buffer, and arrays of
+    doc_id, text_key, low, high, pointer and weight, and of the shift from text to buffer."""
+    pieces, rows, size = [], [], 0
+
+    def taken():
+        raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        return raw, *(np.concatenate(c) for c in zip(*rows, strict=True))
+
+    for batch in batches:
+        keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
+        for doc, key, content, spans in zip(
+            *keys, batch.column("content"), batch.column("spans"), strict=True
+        ):
+            content = content.as_buffer()
+            spans = [spans.values.field(c).to_numpy().astype(np.int64) for c in ASKED]
+            # Spans of one part of the text at a time.
+            part = spans[0] // PART
+            for number in np.unique(part).tolist():
+                low, high, pointer, weight = (x[part == number] for x in spans)
+                first, end = int(low.min()), int(high.max()) + depth
+                n = len(low)
+                pieces.append(content[first:end])
+                rows.append((
+                    np.full(n, doc, dtype=np.int64), np.full(n, key, dtype=np.int32),
+                    low, high, pointer, weight, np.full(n, size - first),
+                ))
+                size += end - first
+                if size >= PART:
+                    yield taken()
+                    pieces, rows, size = [], [], 0
+    if pieces:
+        yield taken()
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``counts`` so many rows: the number it is of, and 0, 1, 2 ... within it."""
+    of = np.repeat(np.arange(len(counts)), counts)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+STRETCH_SCHEMA = f"{PLACES}, weight int, bucket long, name long"
+
+
+def _stretch_cutter(depth: int):
+    core = depth - STRETCH + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Names(depth)
-        for batch in batches:
-            for row in batch.to_pylist():
-                content = np.frombuffer(row["content"], dtype=np.uint8)
-                for one in row["runs"]:
-                    low, high = one["low"], one["high"]
-                    raw = content[low : high + depth]
-                    at = np.arange(high - low + 1)
-                    ids = [names.long(names.short(raw, k), at, k) for k in (0, 1)]
-                    n = len(at)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "doc_id": np.full(n, row["doc_id"], dtype=np.int64),
-                            "text_key": np.full(n, row["text_key"], dtype=np.int64),
-                            "place": low + at,
-                            "weight": np.full(n, one["weight"], dtype=np.int32),
-                            "name_a": _signed(ids[0]),
-                            "name_b": _signed(ids[1]),
-                        }
-                    )
+        names, cores = Names(depth), Names(core)
+        for raw, doc, key, low, high, pointer, weight, shift in _asked_parts(batches, depth):
+            # Stretches by their distance from the pointer, the nearest first.
+            nearest, farthest = (pointer - high) // STRETCH, (pointer - low) // STRETCH
+            of, number = _spread(farthest - nearest + 1)
+            number = number + nearest[of]
+            a = np.maximum(low[of], pointer[of] - (number + 1) * STRETCH + 1)
+            b = np.minimum(high[of], pointer[of] - number * STRETCH)
+            # Every window of the stretch holds the bytes from its last place on.
+            at = pointer[of] - number * STRETCH
+            short = [names.short(raw, lane) for lane in (0, 1)]
+            moved = shift[of]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": doc[of], "text_key": key[of], "low": a.astype(np.int32),
+                    "high": b.astype(np.int32), "pointer": pointer[of].astype(np.int32),
+                    "weight": weight[of].astype(np.int32),
+                    "bucket": _signed(cores.long(short[0], at + moved, 0)),
+                    "name": _signed(_name_of_span(names, short[1], a + moved, b + moved, 1)),
+                }
+            )
 
     return run
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 65_536) -> Iterator[pa.RecordBatch]:
-    """Small batches joined to larger ones."""
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= rows:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, n = [], 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+WINDOW_SCHEMA = "doc_id long, text_key int, place int, weight int, name_a long, name_b long"
 
 
-def repeated_spans(contents: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Windows that repeat, for rows of doc_id, text_key and content (binary): doc_id, text_key,
-    low, high; the windows that start from low to high all start elsewhere too."""
-    find, list_ = _run_finder(depth), _window_lister(depth)
-    runs = staged(contents.mapInArrow(find, RUN_SCHEMA), "runs")
-    name = ["bucket", "name_a", "name_b"]
+def _window_lister(depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = Names(depth)
+        for raw, doc, key, low, high, _, weight, shift in _asked_parts(batches, depth):
+            of, number = _spread(high - low + 1)
+            place = low[of] + number
+            ids = [names.long(names.short(raw, k), place + shift[of], k) for k in (0, 1)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": doc[of], "text_key": key[of], "place": place.astype(np.int32),
+                    "weight": weight[of].astype(np.int32),
+                    "name_a": _signed(ids[0]), "name_b": _signed(ids[1]),
+                }
+            )
+
+    return run
+
+
+def _refined(spans: DataFrame, purpose: str) -> tuple[DataFrame, DataFrame]:
+    """One round over staged spans with bucket, name and weight: those that agree with another
+    one, and the texts' lists of different spans whose bucket holds several, one of them alone so
+    far. Uses the spans up."""
+    name = ["bucket", "name"]
+    # Most are alone in their bucket and go at once.
+    several = spans.groupBy("bucket").count().where("count > 1").select("bucket")
+    shared = staged(spans.join(several, "bucket", "left_semi"), f"{purpose}-shared")
+    discard(spans)
     kinds = staged(
-        runs.groupBy(*name).agg(
-            F.count("*").alias("n"),
-            F.min(F.struct("doc_id", "text_key", "low", "high")).alias("first"),
-        ).withColumn("n", F.least("n", F.lit(2)).cast("int")),
-        "run-kinds",
+        shared.groupBy(*name).agg(
+            F.sum("weight").alias("weight"),
+            F.min(F.struct("doc_id", "text_key", "low", "high", "pointer")).alias("first"),
+        ).withColumn("weight", F.least("weight", F.lit(2)).cast("int")),
+        f"{purpose}-kinds",
     )
-    settled = runs.join(kinds.where("n > 1").select(*name), name, "left_semi").select(
-        "doc_id", "text_key", "low", "high"
+    settled = staged(
+        shared.where("weight = 1").join(kinds.where("weight > 1").select(*name), name, "left_semi")
+        .select("doc_id", "text_key", "low", "high"),
+        f"{purpose}-settled",
     )
-    # Buckets of different runs, one of which at least is alone so far.
+    discard(shared)
     mixed = kinds.groupBy("bucket").agg(
-        F.count("*").alias("kinds"), F.min("n").alias("least")
+        F.count("*").alias("kinds"), F.min("weight").alias("least")
     ).where("kinds > 1 AND least = 1").select("bucket")
-    asked = (
-        kinds.join(mixed, "bucket", "left_semi")
-        .select("first.*", F.col("n").alias("weight"))
+    asked = staged(
+        kinds.join(mixed, "bucket", "left_semi").select("first.*", "weight")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("low", "high", "weight")).alias("runs"))
+        .agg(F.collect_list(F.struct(*ASKED)).alias("spans")),
+        f"{purpose}-asked",
     )
-    # A text that is there twice under one id would list its windows twice; it is settled anyway.
+    discard(kinds)
+    return settled, asked
+
+
+def repeated_spans(contents: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """Windows that repeat, for rows of doc_id, text_key and content (binary): doc_id, text_key,
+    low, high; the windows that start from low to high all start elsewhere too."""
+    if depth < Q + STRETCH - 1:
+        raise ValueError(f"strings must be {Q + STRETCH - 1} bytes long at least")
+    key = ["doc_id", "text_key"]
+    runs = contents.mapInArrow(_run_finder(depth), RUN_SCHEMA).withColumn("weight", F.lit(1))
+    whole, asked = _refined(staged(runs, "runs"), "runs")
+    # A text that is there twice under one id is cut twice here; all of it is settled, and what
+    # is settled counts as repeated anyway. What is asked for grows with the corpus, so texts are
+    # shuffled to it at any size.
+    stretches = staged(
+        contents.join(asked.hint("merge"), key).mapInArrow(_stretch_cutter(depth), STRETCH_SCHEMA),
+        "stretches",
+    )
+    discard(asked)
+    partly, asked = _refined(stretches, "stretches")
     windows = staged(
-        contents.join(asked, ["doc_id", "text_key"]).mapInArrow(
-            lambda batches: _gathered(list_(batches)), WINDOW_SCHEMA
-        ),
+        contents.join(asked.hint("merge"), key).mapInArrow(_window_lister(depth), WINDOW_SCHEMA),
         "windows",
     )
+    discard(asked)
     again = (
-        windows.groupBy("name_a", "name_b")
-        .agg(F.sum("weight").alias("weight"))
-        .where("weight > 1")
-        .select("name_a", "name_b")
+        windows.groupBy("name_a", "name_b").agg(F.sum("weight").alias("weight"))
+        .where("weight > 1").select("name_a", "name_b")
     )
-    single = windows.where("weight = 1").join(again, ["name_a", "name_b"], "left_semi")
-    return settled.unionAll(
-        single.select(
-            "doc_id", "text_key", F.col("place").alias("low"), F.col("place").alias("high")
-        )
+    single = staged(
+        windows.where("weight = 1").join(again, ["name_a", "name_b"], "left_semi").select(
+            *key, F.col("place").alias("low"), F.col("place").alias("high")
+        ),
+        "single",
     )
+    discard(windows)
+    return whole.unionAll(partly).unionAll(single)
 
 
 def cut_out(content: bytes, low: np.ndarray, high: np.ndarray, depth: int):
@@ -290,7 +379,7 @@ def cut_out(content: bytes, low: np.ndarray, high: np.ndarray, depth: int):
 def _contents(docs: DataFrame) -> DataFrame:
     return docs.select(
         id_key().alias("doc_id"),
-        F.xxhash64("text").alias("text_key"),
+        F.hash("text").alias("text_key"),
         F.coalesce("text", F.lit("")).cast("binary").alias("content"),
     )
 
@@ -333,7 +422,7 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
-    cut = contents.join(spans, ["doc_id", "text_key"], "left").mapInArrow(
+    cut = contents.join(spans.hint("merge"), ["doc_id", "text_key"], "left").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
     return cut.withColumn("doc_id", as_id("doc_id"))
@@ -354,6 +443,6 @@ def strip_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         low, high = (np.array([s[end] for s in spans], dtype=np.int64) for end in ("low", "high"))
         return cut_out(text.encode(), low, high, depth)[0].decode("utf-8", "ignore")
 
-    same = (id_key(docs["doc_id"]) == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__key"))
-    joined = docs.join(own, same, "left")
+    same = (id_key(docs["doc_id"]) == F.col("__doc")) & (F.hash(docs["text"]) == F.col("__key"))
+    joined = docs.join(own.hint("merge"), same, "left")
     return joined.withColumn("text", stripped("text", "__spans")).select(*docs.columns)

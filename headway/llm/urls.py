@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.stage import slices, staged
+from headway.llm.stage import most_frequent, slices, staged
 
 # Words of the unigram model and tokens of the classifier, the most frequent ones; both bound what
 # is broadcast. Rarer ones count as unknown.
@@ -117,9 +117,8 @@ def unigrams(pages: DataFrame, size: int = UNIGRAMS) -> dict[str, float]:
         .mapInArrow(lambda b: _counted(b, "html", _html_words), "word string, n long")
         .groupBy("word").agg(F.sum("n").alias("n"))
         .where(F.length("word").between(2, LONGEST_WORD))
-        .orderBy(F.desc("n"), "word").limit(size).collect()
     )
-    n = {row["word"]: row["n"] for row in counts}
+    n = {row["word"]: row["n"] for row in most_frequent(counts, ["word"], size).collect()}
     middling = sorted(n.values())[len(n) // 2] if n else 1
     for seed in SEEDS:
         n[seed] = max(n.get(seed, 0), middling)
@@ -240,9 +239,10 @@ def train(urls: DataFrame, logs: dict[str, float], size: int = TOKENS) -> NaiveB
             F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad"),
             F.sum(F.when(~F.col("bad"), F.col("n")).otherwise(0)).alias("good"),
         )
-        .orderBy(F.desc(F.col("bad") + F.col("good")), "token").limit(size + 1).collect()
+        .withColumn("n", F.col("bad") + F.col("good"))
     )
-    by = {row["token"]: (row["bad"], row["good"]) for row in by_token}
+    most = most_frequent(by_token, ["token"], size + 1).collect()
+    by = {row["token"]: (row["bad"], row["good"]) for row in most}
     bad_rows, good_rows = by.pop("", (0, 0))
     if not bad_rows:
         # Nothing to learn a block from.

@@ -31,7 +31,6 @@ class WordEncoder:
 
         self.table = MergeTable(path)
         self.library = Tokenizer.from_file(path)
-        self.special = [str(t) for t in self.library.get_added_tokens_decoder().values()]
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.pretokens = regex.compile(_PRETOKEN)
         self.beyond = regex.compile(f"[^\x00-{_SIMPLE}]")

@@ -40,7 +40,7 @@ Q = 64
 STRETCH = 16
 # Bytes worked on at a time; a longer text is cut into parts that overlap by a window, which may
 # cut a run in two but loses no window.
-PART = 1 << 20
+PART = 1 << 18
 _PLACE_BITS = np.uint64(30)
 _LANES = (
     (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95), 11),

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headway.llm.stage import slices
+from headway.llm.stage import slices, staged
 
 ORDER = 4
 # Labelled texts of a language that are looked at, those of smallest hash. Its model is learned from
@@ -226,8 +226,11 @@ def learn(labelled: DataFrame) -> Model | None:
         .select("doc_id", "lang").withColumn("rank", rank)
         .where(F.col("rank") <= SAMPLE_TEXTS)
     )
-    texts = labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).select(
-        "lang", "text", (F.col("rank") % CALIBRATES == 0).alias("calibrates")
+    # At most SAMPLE_TEXTS rows of an id and a number for each language; texts are not shuffled.
+    texts = staged(
+        labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+        .select("lang", "text", (F.col("rank") % CALIBRATES == 0).alias("calibrates")),
+        "language-sample",
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-Equal vectors are one node. Graph and search order distances by vectors of 16-bit floats, as these
-go through every shuffle; what is found is ranked by the vectors as they are.
+Equal vectors are one node. The vectors go through every shuffle as they are, floats as floats and
+anything else as doubles, and distances are doubles, so that neither the range of the table nor
+near copies blur their order.
 
 The graph starts with neighbours in several orders of the nodes, by signs of random projections,
 each cut into short stretches. In each round the vectors of a node's neighbours, in either
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from headway.llm.stage import discard, staged
 
@@ -62,29 +64,30 @@ def _nearest(rows: DataFrame, of: str, by: list, n: int) -> DataFrame:
 
 
 def _matrix(codes: pa.Array) -> np.ndarray:
-    """Vectors of 16-bit floats as rows."""
+    """Vectors as rows of doubles. The last byte of a code is its type."""
     if not len(codes):
-        return np.zeros((0, 0), dtype=np.float32)
-    flat = np.frombuffer(b"".join(codes.to_pylist()), dtype="<f2")
-    return flat.reshape(len(codes), -1).astype(np.float32)
+        return np.zeros((0, 0))
+    flat = np.frombuffer(b"".join(codes.to_pylist()), dtype=np.uint8).reshape(len(codes), -1)
+    kind = f"<{chr(flat[0, -1])}"
+    return np.ascontiguousarray(flat[:, :-1]).view(kind).astype(np.float64)
 
 
-def _coded(nodes: DataFrame) -> DataFrame:
-    """Nodes with their vectors as 16-bit floats, scaled by the largest component of all."""
-    largest = nodes.agg(F.max(F.array_max(F.transform("vector", F.abs)))).first()[0] or 1.0
+def _coded(nodes: DataFrame, floats: bool) -> DataFrame:
+    """Nodes with their vectors as bytes, without loss where all are ``floats``."""
+    kind = "f" if floats else "d"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = batch.column("vector")
-            flat = vectors.flatten().to_numpy(zero_copy_only=False) / largest
-            rows = flat.reshape(len(vectors), -1).astype("<f2")
-            codes = pa.array([row.tobytes() for row in rows], pa.binary())
+            flat = vectors.flatten().to_numpy(zero_copy_only=False)
+            rows = flat.reshape(len(vectors), -1).astype(f"<{kind}") if len(vectors) else []
+            codes = pa.array([row.tobytes() + kind.encode() for row in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), codes], ["node", "code"])
 
     return staged(nodes.mapInArrow(run, "node long, code binary"), "codes")
 
 
-LINKS = "u long, v long, d float"
+LINKS = "u long, v long, d double"
 
 
 def _orders(orders: int, bits: int, seed: int):
@@ -96,7 +99,7 @@ def _orders(orders: int, bits: int, seed: int):
         for batch in batches:
             x = _matrix(batch.column("code"))
             if planes is None:
-                planes = random.standard_normal((orders, x.shape[1], bits + 1), dtype=np.float32)
+                planes = random.standard_normal((orders, x.shape[1], bits + 1))
             for order in range(orders):
                 along = x @ planes[order]
                 cell = (along[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
@@ -147,8 +150,12 @@ def _stretches(degree: int, stretch: int):
 
 
 def _distances(x: np.ndarray) -> np.ndarray:
-    """Distances of the rows of each matrix; only orders them, so fast arithmetic will do."""
-    squares = (x * x).sum(axis=2)
+    """Distances of the rows of each matrix, from the row of median length as the origin: among near
+    copies that is one of them, so that their distances do not cancel out."""
+    squares = np.einsum("ijk,ijk->ij", x, x)
+    middle = np.argpartition(squares, squares.shape[1] // 2, axis=1)[:, squares.shape[1] // 2]
+    x = x - x[np.arange(len(x)), middle][:, None]
+    squares = np.einsum("ijk,ijk->ij", x, x)
     d = squares[:, :, None] + squares[:, None, :] - 2 * x @ x.transpose(0, 2, 1)
     return np.sqrt(np.maximum(d, 0))
 
@@ -174,7 +181,9 @@ def _local_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fresh = padded(flat.field("fresh").to_numpy(zero_copy_only=False), False)
             far = padded(flat.field("far").to_numpy(), -1.0)
             vectors = _matrix(flat.field("code"))
-            d = _distances(padded(vectors, 0.0, vectors.shape[1:]))
+            x = padded(vectors, 0.0, vectors.shape[1:])
+            # Places that nothing fills repeat the first vector, so that it may well be the origin.
+            d = _distances(np.where((node >= 0)[:, :, None], x, x[:, :1]))
             ok = (node[:, :, None] != node[:, None, :]) & (node[:, :, None] >= 0)
             ok &= (node[:, None, :] >= 0) & (fresh[:, :, None] | fresh[:, None, :])
             # Each order of a pair is one row, for the node whose neighbours it may change.
@@ -194,7 +203,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
     tasks = max(1, min(tasks, n * ORDERS // (4 * STRETCH)))
     place = ["order", "cell", "along", "node"]
     dealt = nodes.mapInArrow(
-        _orders(ORDERS, bits, seed), "order int, cell long, along float, node long, code binary"
+        _orders(ORDERS, bits, seed), "order int, cell long, along double, node long, code binary"
     ).repartitionByRange(tasks, *place).sortWithinPartitions(*place)
     start = dealt.mapInArrow(_stretches(degree, STRETCH), LINKS)
     graph = _merged(start.withColumn("fresh", F.lit(True)), degree, "graph0")
@@ -204,7 +213,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
             F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far")
         )
         held = nodes.join(far, nodes["node"] == far["u"], "left").select(
-            "node", "code", F.coalesce("far", F.lit(float("inf"))).cast("float").alias("far")
+            "node", "code", F.coalesce("far", F.lit(float("inf"))).alias("far")
         )
         back = _nearest(
             graph.select(F.col("v").alias("at"), F.col("u").alias("node"), "d", "fresh"),
@@ -258,7 +267,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, asked: DataFrame, beam: int
     asked = staged(asked.select("node").distinct().join(nodes, "node"), "asked")
     of = asked.select(F.col("node").alias("query"), F.col("code").alias("goal"))
     found = asked.select(
-        F.col("node").alias("query"), "node", F.lit(0.0).cast("float").alias("d"),
+        F.col("node").alias("query"), "node", F.lit(0.0).alias("d"),
         F.lit(False).alias("open"),
     )
     for number in range(SEARCH_ROUNDS):
@@ -267,7 +276,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, asked: DataFrame, beam: int
             found.where("NOT open").join(ways, "node").select("query", F.col("next").alias("node"))
             .distinct().join(found, ["query", "node"], "left_anti")
             .join(nodes, "node").join(of, "query").select("query", "node", "code", "goal")
-            .mapInArrow(_measured, "query long, node long, d float")
+            .mapInArrow(_measured, "query long, node long, d double")
             .withColumn("open", F.lit(False))
         )
         met = found.withColumn("open", F.lit(True)).unionAll(new)
@@ -295,7 +304,7 @@ def nearest(
     )
     asked = members.join(queries.select(F.col(id_).cast("long").alias("id")).distinct(), "id")
     nodes = nodes.select("node", "vector")
-    codes = _coded(nodes)
+    codes = _coded(nodes, isinstance(vectors.schema[vector].dataType.elementType, FloatType))
     met = search_graph(build_graph(codes), codes, asked)
     goal = nodes.select(F.col("node").alias("query"), F.col("vector").alias("goal"))
     found = met.join(nodes, "node").join(goal, "query").select(

@@ -62,6 +62,23 @@ def test_recall(spark):
     assert len(got) == 60 and np.mean(hits) >= 9
 
 
+@pytest.mark.parametrize("kind", ["outlier", "near copies"])
+def test_recall_whatever_the_range(spark, kind):
+    random = np.random.default_rng(8)
+    vectors = random.standard_normal((1500, 24))
+    if kind == "outlier":
+        vectors[700, 3] = 1e8
+    else:
+        unit = vectors[0] / np.linalg.norm(vectors[0])
+        vectors[300:] = unit + 1e-5 * vectors[300:]
+    table = frame(spark, vectors.tolist())
+    got = found(neighbours.nearest(table, table.where("vec_id % 25 = 0")))
+    asked = [q for q in got if q != 700]
+    hits = [len({v for v, _ in got[q]} & {v for v, _ in exact(vectors, q)}) for q in asked]
+    print(kind, np.mean(hits) / 10)
+    assert len(got) == 60 and np.mean(hits) >= 9
+
+
 def test_empty_table(spark):
     table = spark.createDataFrame([], SCHEMA)
     assert neighbours.nearest(table, table).collect() == []

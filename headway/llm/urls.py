@@ -21,13 +21,11 @@ from pyspark.sql import functions as F
 
 from headway.llm.stage import most_frequent, slices, staged
 
-# Words of the unigram model and tokens of the classifier, the most frequent ones; both bound what
-# is broadcast. Rarer ones count as unknown.
+# Words of the unigram model and tokens of the classifier that are broadcast, the most frequent
+# ones. Rarer ones count alike, but stay in tables that are joined.
 UNIGRAMS = 50_000
 TOKENS = 50_000
 LONGEST_WORD = 20
-# Hosts whose words a task keeps; beyond, it starts anew.
-KNOWN_HOSTS = 50_000
 
 #: Words in names of unwanted sites.
 SEEDS = (
@@ -109,39 +107,71 @@ def _html_words(text: str) -> list[str]:
     return _WORD.findall(_TAG.sub(" ", text).lower())
 
 
-def unigrams(pages: DataFrame, size: int = UNIGRAMS) -> dict[str, float]:
-    """Log probability of the most frequent words of all pages' texts and of SEEDS, which may be
-    rare there. One-letter words are left out, as they would split anything."""
-    counts = (
+@dataclass
+class Unigrams:
+    """Log probabilities of words: the frequent ones, a table (word, log) of all others, and the
+    least of all."""
+
+    logs: dict[str, float]
+    rare: DataFrame
+    least: float
+
+
+def _beyond(counts: DataFrame, by: str, most: list) -> DataFrame:
+    """The rows that ``most_frequent`` leaves out."""
+    if not most:
+        return counts.where(F.lit(False))
+    last = most[-1]
+    return counts.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col(by) > last[by])))
+
+
+def unigrams(pages: DataFrame, size: int = UNIGRAMS) -> Unigrams:
+    """Log probability of all words of all pages' texts and of SEEDS, which may be rare there.
+    One-letter words are left out, as they would split anything."""
+    counts = staged(
         pages.select("html")
         .mapInArrow(lambda b: _counted(b, "html", _html_words), "word string, n long")
         .groupBy("word").agg(F.sum("n").alias("n"))
-        .where(F.length("word").between(2, LONGEST_WORD))
+        .where(F.length("word").between(2, LONGEST_WORD)),
+        "words",
     )
-    n = {row["word"]: row["n"] for row in most_frequent(counts, ["word"], size).collect()}
+    most = most_frequent(counts, ["word"], size).collect()
+    n = {row["word"]: row["n"] for row in most}
     middling = sorted(n.values())[len(n) // 2] if n else 1
+    of_all = counts.agg(F.sum("n").alias("total"), F.min("n").alias("least")).first()
+    seeds = {r["word"]: r["n"] for r in counts.where(F.col("word").isin(*SEEDS)).collect()}
+    total = of_all["total"] or 0
     for seed in SEEDS:
         n[seed] = max(n.get(seed, 0), middling)
-    total = math.log(sum(n.values()))
-    return {word: math.log(count) - total for word, count in n.items()}
+        total += n[seed] - seeds.get(seed, 0)
+    total = math.log(total)
+    rare = _beyond(counts, "word", most).where(~F.col("word").isin(*SEEDS))
+    return Unigrams(
+        {word: math.log(count) - total for word, count in n.items()},
+        rare.select("word", (F.log("n") - total).alias("log")),
+        math.log(min(of_all["least"] or middling, middling)) - total,
+    )
 
 
 class Segmenter:
     """Splits names into words by Viterbi search."""
 
-    def __init__(self, logs: dict[str, float]):
+    def __init__(self, logs: dict[str, float], least: float | None = None):
         self.logs = logs
-        self.least = min(logs.values(), default=0.0) - 4.0
+        self.least = (min(logs.values(), default=0.0) if least is None else least) - 4.0
         self.longest = max(map(len, logs), default=1)
 
-    def split(self, name: str) -> list[str]:
-        """The likeliest words; letters that no word covers stand together."""
+    def split(self, name: str, rare: dict[str, float] | None = None) -> list[str]:
+        """The likeliest words, also of ``rare`` ones; letters that no word covers stand together."""
+        rare = rare or {}
+        longest = max(self.longest, max(map(len, rare), default=1))
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             # An unknown letter costs more than any word.
             score, start = best[end - 1] + 2 * self.least, end - 1
-            for begin in range(max(0, end - self.longest), end):
-                log = self.logs.get(name[begin:end])
+            for begin in range(max(0, end - longest), end):
+                piece = name[begin:end]
+                log = self.logs.get(piece, rare.get(piece))
                 if log is not None and best[begin] + log > score:
                     score, start = best[begin] + log, begin
             best.append(score)
@@ -149,7 +179,7 @@ class Segmenter:
         words, end, unknown = [], len(name), ""
         while end:
             word = name[back[end] : end]
-            if word in self.logs:
+            if word in self.logs or word in rare:
                 if unknown:
                     words.append(unknown)
                     unknown = ""
@@ -166,24 +196,71 @@ class Segmenter:
 _COMMON = frozenset({"www", "m", "http", "https", "html", "htm", "php", "index"})
 
 
-class Tokens:
-    """Tokens of host and path: words of each label but the top-level domain, words of the path."""
+def _labels(host: str) -> list[str]:
+    """Names within a host's labels but the top-level domain."""
+    names = re.split(r"[^a-z]+", host.rpartition(".")[0] or host)
+    return [x for x in names if x and x not in _COMMON]
+
 
-    def __init__(self, logs: dict[str, float]):
-        self.segmenter, self.known = Segmenter(logs), {}
+def _path_words(path: str) -> list[str]:
+    return [f"/{w}" for w in _WORD.findall(path.lower()) if w not in _COMMON]
 
-    def host(self, host: str) -> list[str]:
-        if host not in self.known:
-            if len(self.known) >= KNOWN_HOSTS:
-                self.known = {}
-            labels = [x for x in re.split(r"[^a-z]+", host.rpartition(".")[0] or host) if x]
-            self.known[host] = [
-                w for x in labels if x not in _COMMON for w in self.segmenter.split(x)
+
+def host_words(hosts: DataFrame, model: Unigrams) -> DataFrame:
+    """host, words of the distinct ``hosts``. Frequent words are looked up in tasks; every other
+    piece of a label is joined with the table of rare words."""
+    held = hosts.sparkSession.sparkContext.broadcast((model.logs, model.least))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(h, i, x) for h in batch.column(0).to_pylist() for i, x in enumerate(_labels(h))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(_NAMED)],
+                ["host", "at", "label"],
+            )
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs, _ = held.value
+        for batch in batches:
+            for label in batch.column(0).to_pylist():
+                own = {
+                    label[a:b] for a in range(len(label))
+                    for b in range(a + 2, min(len(label), a + LONGEST_WORD) + 1)
+                } - logs.keys()
+                if own:
+                    yield pa.RecordBatch.from_pydict({"label": [label] * len(own), "word": list(own)})
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segmenter = Segmenter(*held.value)
+        for batch in batches:
+            words = [
+                segmenter.split(label, {x["word"]: x["log"] for x in rare or ()})
+                for label, rare in zip(
+                    batch.column("label").to_pylist(), batch.column("rare").to_pylist(), strict=True
+                )
             ]
-        return self.known[host]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), pa.array(words, pa.list_(pa.string()))], ["label", "words"]
+            )
+
+    names = staged(
+        hosts.select("host").distinct().mapInArrow(named, "host string, at int, label string"), "labels"
+    )
+    labels = names.select("label").distinct()
+    rare = (
+        labels.mapInArrow(pieces, "label string, word string").join(model.rare, "word")
+        .groupBy("label").agg(F.collect_list(F.struct("word", "log")).alias("rare"))
+    )
+    words = labels.join(rare, "label", "left").select("label", "rare").mapInArrow(
+        split, "label string, words array<string>"
+    )
+    listed = names.join(words, "label").groupBy("host").agg(
+        F.array_sort(F.collect_list(F.struct("at", "words"))).alias("list")
+    )
+    return listed.select("host", F.flatten(F.transform("list", lambda x: x["words"])).alias("words"))
+
 
-    def path(self, path: str) -> list[str]:
-        return [f"/{w}" for w in _WORD.findall(path.lower()) if w not in _COMMON]
+_NAMED = (pa.string(), pa.int32(), pa.string())
 
 
 def seeded(words: list[str], seeds: tuple[str, ...] = SEEDS) -> bool:
@@ -193,21 +270,19 @@ def seeded(words: list[str], seeds: tuple[str, ...] = SEEDS) -> bool:
 
 @dataclass
 class NaiveBayes:
-    """Log odds for blocking of each token, and those of the classes."""
+    """Log odds for blocking: those of the classes, of frequent tokens, and a table (token, odds)
+    of all others."""
 
     prior: float
     odds: dict[str, float]
+    rare: DataFrame
 
-    def score(self, tokens: list[str]) -> float:
-        return self.prior + sum(self.odds.get(t, 0.0) for t in tokens)
 
-
-def train(urls: DataFrame, logs: dict[str, float], size: int = TOKENS) -> NaiveBayes:
-    """Counts tokens by class over all rows of host and path, smoothed by one."""
-    held = urls.sparkSession.sparkContext.broadcast(logs)
+def train(urls: DataFrame, size: int = TOKENS) -> NaiveBayes:
+    """Counts tokens by class over all rows of words and path, smoothed by one."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = Tokens(held.value), Counter()
+        counts: Counter[tuple[str, bool]] = Counter()
 
         def rows():
             keys = list(counts)
@@ -221,73 +296,97 @@ def train(urls: DataFrame, logs: dict[str, float], size: int = TOKENS) -> NaiveB
             )
 
         for batch in batches:
-            for host, path in zip(
-                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True
+            for words, path in zip(
+                batch.column("words").to_pylist(), batch.column("path").to_pylist(), strict=True
             ):
-                words = tokens.host(host)
                 bad = seeded(words)
                 # The empty token counts the rows.
-                counts.update((t, bad) for t in ["", *words, *tokens.path(path)])
+                counts.update((t, bad) for t in ["", *words, *_path_words(path)])
             if len(counts) > 200_000:
                 yield rows()
                 counts.clear()
         yield rows()
 
-    by_token = (
-        urls.select("host", "path").mapInArrow(count, "token string, bad boolean, n long")
+    by_token = staged(
+        urls.select("words", "path").mapInArrow(count, "token string, bad boolean, n long")
         .groupBy("token").agg(
             F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad"),
             F.sum(F.when(~F.col("bad"), F.col("n")).otherwise(0)).alias("good"),
         )
-        .withColumn("n", F.col("bad") + F.col("good"))
+        .withColumn("n", F.col("bad") + F.col("good")),
+        "tokens",
     )
-    most = most_frequent(by_token, ["token"], size + 1).collect()
-    by = {row["token"]: (row["bad"], row["good"]) for row in most}
-    bad_rows, good_rows = by.pop("", (0, 0))
-    if not bad_rows:
+    rows = by_token.where("token = ''").first()
+    by_token = by_token.where("token != ''")
+    most = most_frequent(by_token, ["token"], size).collect()
+    if not rows or not rows["bad"]:
         # Nothing to learn a block from.
-        return NaiveBayes(-1.0, {})
-    bad, good = (sum(x[i] for x in by.values()) + len(by) + 1 for i in (0, 1))
+        none = by_token.where(F.lit(False)).select("token", F.lit(0.0).alias("odds"))
+        return NaiveBayes(-1.0, {}, none)
+    sums = by_token.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("n")).first()
+    bad, good = ((sums[x] or 0) + sums["n"] + 1 for x in ("bad", "good"))
+    odds = F.log((F.col("bad") + 1) / bad) - F.log((F.col("good") + 1) / good)
     return NaiveBayes(
-        math.log(bad_rows + 1) - math.log(good_rows + 1),
+        math.log(rows["bad"] + 1) - math.log(rows["good"] + 1),
         {
-            t: math.log((b + 1) / bad) - math.log((g + 1) / good)
-            for t, (b, g) in by.items()
+            r["token"]: math.log((r["bad"] + 1) / bad) - math.log((r["good"] + 1) / good)
+            for r in most
         },
+        _beyond(by_token, "token", most).select("token", odds.alias("odds")),
     )
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def judge(
+    pages: DataFrame, rules: tuple[Rule, ...] = RULES, words_held: int = UNIGRAMS,
+    tokens_held: int = TOKENS,
+) -> DataFrame:
     """All rows of ``pages`` (page_id, url, html) as page_id, host, path, rule (the rule that
     decides, else null), verdict (allow or block), words (of the host) and score (log odds for
-    blocking). A null URL has an empty host and path and no words; it gets the likelier class."""
-    logs = unigrams(pages)
-    parts = staged(
-        pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")),
+    blocking). How many words and tokens are held in tasks changes no result. A null URL has an empty host and path and no words; it gets the likelier class."""
+    # Numbered when written, so that a task run again finds the same numbers.
+    urls = staged(
+        pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+        .withColumn("row", F.monotonically_increasing_id()),
         "urls",
     )
-    context = pages.sparkSession.sparkContext
-    model = context.broadcast((logs, train(parts, logs)))
+    words = host_words(urls.select("host"), unigrams(pages, words_held))
+    none = F.array().cast("array<string>")
+    parts = staged(
+        urls.join(words, "host", "left").withColumn("words", F.coalesce("words", none)), "parts"
+    )
+    model = train(parts, tokens_held)
+    held = pages.sparkSession.sparkContext.broadcast((model.prior, model.odds))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, bayes = model.value
-        tokens = Tokens(logs)
+        prior, odds = held.value
         for batch in batches:
-            words, scores = [], []
-            for host, path in zip(
-                batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True
+            scores, others = [], []
+            for words, path in zip(
+                batch.column("words").to_pylist(), batch.column("path").to_pylist(), strict=True
             ):
-                own = tokens.host(host)
-                words.append(own)
-                scores.append(bayes.score([*own, *tokens.path(path)]))
+                own = [*words, *_path_words(path)]
+                scores.append(prior + sum(odds.get(t, 0.0) for t in own))
+                others.append([t for t in own if t not in odds])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("page_id", "host", "path")]
-                + [pa.array(words, pa.list_(pa.string())), pa.array(scores, pa.float64())],
-                ["page_id", "host", "path", "words", "score"],
+                [batch.column("row"), pa.array(scores, pa.float64()), pa.array(others, pa.list_(pa.string()))],
+                ["row", "held", "others"],
             )
 
-    schema = f"page_id {parts.schema['page_id'].dataType.simpleString()}, host string, path string, "
-    scored = parts.mapInArrow(score, schema + "words array<string>, score double")
+    part = staged(
+        parts.select("row", "words", "path")
+        .mapInArrow(score, "row long, held double, others array<string>"),
+        "scores",
+    )
+    # Sorted before they are added, so that a sum does not depend on the order of a shuffle.
+    rare = (
+        part.select("row", F.explode("others").alias("token")).join(model.rare, "token")
+        .groupBy("row").agg(F.array_sort(F.collect_list("odds")).alias("odds"))
+        .select("row", F.aggregate("odds", F.lit(0.0), lambda s, x: s + x).alias("more"))
+    )
+    scored = (
+        parts.join(part.select("row", "held"), "row").join(rare, "row", "left")
+        .withColumn("score", F.col("held") + F.coalesce("more", F.lit(0.0)))
+    )
     number = ruled(rules, F.col("host"), F.col("path"))
     names = F.array(*[F.lit(str(r)) for r in rules]) if rules else F.array(F.lit(""))
     verdicts = F.array(*[F.lit(r.verdict) for r in rules]) if rules else F.array(F.lit(""))

@@ -81,6 +81,22 @@ def test_classifier_learns_words_that_go_along_with_seeds(spark):
     assert got[0].rule is None and "casino" in got[0].words
 
 
+def test_rare_words_and_tokens_count(spark):
+    bad = [f"http://casinopoker.net/jackpot{'abcdefgh'[i % 8]}/x" for i in range(40)] + ["http://pokerzirkon.net/opal"] * 3
+    good = [f"http://gardenroses.net/roses/{'abcdefgh'[i % 8]}" for i in range(40)]
+    html = "<p>" + "casino poker garden roses the and " * 5 + "zirkon</p>"
+    asked = ["http://zirkon.net/opal", "http://zirkonroses.net/roses/"]
+    rows = [(i, u, html) for i, u in enumerate([*bad, *good, *asked])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = {r.page_id: r for r in urls.judge(pages, ()).collect()}
+    few = {r.page_id: r for r in urls.judge(pages, (), 3, 2).collect()}
+    assert whole.keys() == few.keys() == set(range(len(rows)))
+    for i in whole:
+        assert whole[i].words == few[i].words and whole[i].verdict == few[i].verdict, rows[i]
+        assert whole[i].score == pytest.approx(few[i].score)
+    assert whole[83].verdict == "block" and whole[84].words == ["zirkon", "roses"]
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge(pages).collect() == []

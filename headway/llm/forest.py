@@ -1,9 +1,9 @@
-"""Near-duplicate join by Jaccard similarity of word shingles, through a MinHash LSH forest.
+"""Near-duplicate join by Jaccard similarity of word shingles, through MinHash bands.
 
-Each distinct text has a label of ``LONGEST`` min-hashes in each of ``TREES`` trees; sorted labels
-are a prefix tree, and texts below one node of it are candidates. Starting with whole labels, the
-matched prefix is shortened until texts just at the threshold share a node of some tree with the
-target recall. Candidates are then compared exactly.
+Each distinct text has a label in each of ``TREES`` trees, made of min-hashes: texts with the same
+label in some tree are candidates. Instead of an LSH forest, which shortens sorted labels by what
+matches, all labels have one length, the longest one, up to ``LONGEST``, at which texts just at the
+threshold share a label of some tree with the target recall. Candidates are then compared exactly.
 
 Exact copies are one node from the start. Candidate nodes form groups; a group is compared in
 blocks of bounded size, a pair of blocks to a task, and a task gives each node's number of links

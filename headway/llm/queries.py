@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(run: Callable[[SparkSession, str], DataFrame]):
+def query(run: Callable[[SparkSession, str], DataFrame], sql: str | None = None):
     QUERIES[run.__name__] = run
+    if sql is not None:
+        SQL[run.__name__] = sql
     return run
 
 
@@ -136,3 +139,86 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from headway.llm import licenses
 
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of personal data in every text."""
+    from headway.llm import personal
+
+    scanned = personal.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < len(personal.KINDS))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(personal.KINDS)]
+    return scanned.select(
+        "doc_id", *counts, F.sha2(personal.written(base), 256).alias("base_sha256"),
+        personal.written(F.col("spans")).alias("spans"),
+    )
+
+
+RANKED = r"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id,
+                      regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+               FROM documents),
+    t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY ALL),
+    n AS (SELECT row, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+    a AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS len FROM n),
+    w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+          FROM (SELECT term, count(*) AS df FROM t GROUP BY term), a),
+    q AS (SELECT item_id, term, count(*) AS times
+          FROM (SELECT item_id, unnest(regexp_extract_all(
+                           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+          GROUP BY ALL),
+    s AS (SELECT item_id, doc_id, row,
+                 sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // len))))::BIGINT
+                     AS score
+          FROM q JOIN w USING (term) JOIN t USING (term) JOIN n USING (row), a GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+          FROM s WHERE score > 0)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+@partial(query, sql=RANKED)
+def op12_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    from headway.llm import maxscore
+
+    return maxscore.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+MINED = """
+    WITH r AS (SELECT row_number() OVER () AS row, vec_id,
+                      CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same,
+                 list_inner_product(a.v, b.v)::BIGINT AS score
+          FROM r AS a JOIN r AS b ON a.row <> b.row AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+    p AS (SELECT anchor, row, vec_id, score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5),
+    n AS (SELECT s.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+                 p.score AS positive_score, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+          FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+           AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score)
+    SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 3
+"""
+
+
+@partial(query, sql=MINED)
+def op13_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, with some labels moved on by one."""
+    from headway.llm import negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0)

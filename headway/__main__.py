@@ -23,11 +23,15 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--from", dest="first", type=parse_day, help="first day of a backfill")
     parser.add_argument("--to", dest="last", type=parse_day, help="its last day; yesterday by default")
     parser.add_argument("--feed", choices=sorted(registry()), help="one feed; all by default")
+    parser.add_argument("--name", help="name of a backfill, which goes on where it ended")
+    parser.add_argument("--remember", action="store_true", help="list days that are over only once")
     levels = ("DEBUG", "INFO", "WARNING", "ERROR")
     parser.add_argument("--log-level", choices=levels, default="INFO")
     args = parser.parse_args(argv)
     if args.day and (args.first or args.last):
         parser.error("give either --day or --from and --to")
+    if (args.name or args.remember) and not args.first:
+        parser.error("--name and --remember are for a backfill, with --from")
     if args.last and not args.first:
         parser.error("--to needs --from")
     if args.first and args.first > (args.last or yesterday()):
@@ -44,10 +48,17 @@ def main(argv: list[str] | None = None) -> int:
     if args.first:
         last = args.last or yesterday()
         days = [args.first + dt.timedelta(days=n) for n in range((last - args.first).days + 1)]
-        results = backfill(spark, args.lake, days, args.feed)
+        results = backfill(spark, args.lake, days, args.feed, name=args.name, remember=args.remember)
     else:
         results = compact_all(spark, args.lake, args.day, args.feed)
-    return 1 if any(isinstance(r, Exception) for r in results.values()) else 0
+    return 1 if any(map(failed, results.values())) else 0
+
+
+def failed(result) -> bool:
+    """Whether a feed's result is an error, or one of its days failed."""
+    if isinstance(result, list):
+        return any(outcome.status == "failed" for outcome in result)
+    return isinstance(result, Exception)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Slices that are looked at together at each level, and levels: the last looks at one row for
+# Slices that are looked at together at each level, and levels: the last looks at two rows for
 # each 2**24 slices of a key.
 GROUP_BITS = 12
 LEVELS = 3
@@ -26,23 +26,59 @@ def drop_unchanged(
 
     The first column of ``order``, a number or a time, is cut into slices of ``width`` (seconds
     for a time) that tasks work on alone, so a key with a third of all rows is spread over many
-    tasks. Rows in which it is NULL come first, as one slice. The last identity of each slice, one
-    small row, is put before the first row of the next.
+    tasks. Rows in which it is NULL come first, as one slice.
+
+    The input is read and sorted once. What goes on from there are the rows found to have changed and
+    each slice's first and last: at each level a first row is set against the last one of the slice
+    before, among neighbouring slices, then groups of slices, and so on, so no task has all
+    slices of a key. Changed rows wait beside them, spread by their slice.
     """
-    part = [*keys, "_slice"]
-    sliced = df.withColumn("_slice", _slice(df, order[0], width)).withColumn("_seed", F.lit(1))
-    ends = sliced.groupBy(*part).agg(
-        F.max_by(F.struct(identity), F.struct(*order)).alias("_end")
-    )
-    seeds = _carried(ends, keys).select(
-        *part, F.col("_end")[identity].alias(identity), F.lit(0).alias("_seed")
+    names = {part: _free(df, part) for part in ("slice", "at", "first", "last", "kept", "before", "after", "apart")}
+    n = names.__getitem__
+    own = F.struct(F.col(identity).alias("identity"))
+    changed = ~F.col(identity).eqNullSafe(F.col(n("before"))["identity"])
+
+    def neighbours(rows: DataFrame, window) -> DataFrame:
+        return rows.withColumn(n("before"), F.lag(own).over(window)).withColumn(
+            n("after"), F.lead(F.lit(1)).over(window)
+        )
+
+    sliced = df.withColumn(n("slice"), _slice(df, order[0], width))
+    seen = neighbours(sliced, Window.partitionBy(*keys, n("slice")).orderBy(*order))
+    is_first, is_last = F.col(n("before")).isNull(), F.col(n("after")).isNull()
+    # NULL for a row whose predecessor lies in another slice.
+    kept = F.when(~is_first, changed)
+    rows = seen.select(
+        *df.columns, n("slice"), (F.col(n("slice")) - FIRST_SLICE).alias(n("at")),
+        is_first.alias(n("first")), is_last.alias(n("last")), kept.alias(n("kept")),
     )
+    for level in range(1, LEVELS + 1):
+        linked = F.col(n("first")) | F.col(n("last"))
+        rows = rows.where(linked | F.col(n("kept")))
+        # From zero up, so that the highest bits are the same for all. The last level takes what is
+        # left, two rows for each group of the level before.
+        shift = GROUP_BITS if level < LEVELS else 63
+        rows = rows.withColumn(n("at"), F.shiftright(n("at"), shift))
+        rows = rows.withColumn(n("apart"), F.when(~linked, F.col(n("slice"))))
+        # A slice's first row comes before its last; they may be one.
+        window = Window.partitionBy(*keys, n("at"), n("apart")).orderBy(n("slice"), n("last"))
+        seen = neighbours(rows, window)
+        settled = F.col(n("first")) & ~is_first
+        rows = seen.select(
+            *df.columns, n("slice"), n("at"),
+            (linked & is_first).alias(n("first")), (linked & is_last).alias(n("last")),
+            F.when(settled, changed).otherwise(F.col(n("kept"))).alias(n("kept")),
+        )
+    # What is still open is the first row of its key.
+    return rows.where(F.coalesce(F.col(n("kept")), F.lit(True))).select(*df.columns)
 
-    within = Window.partitionBy(*part).orderBy("_seed", *order)
-    before = F.lag(F.struct(identity)).over(within)
-    compared = sliced.unionByName(seeds, allowMissingColumns=True).withColumn("_before", before)
-    changed = F.col("_before").isNull() | ~F.col(identity).eqNullSafe(F.col("_before")[identity])
-    return compared.where((F.col("_seed") == 1) & changed).select(*df.columns)
+
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    name = f"_{name}"
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
 
 
 def _slice(df: DataFrame, first: str, width: float) -> Column:
@@ -50,30 +86,3 @@ def _slice(df: DataFrame, first: str, width: float) -> Column:
     if df.schema[first].dataType.typeName().startswith("timestamp"):
         at = F.unix_micros(at.cast("timestamp")) / 1_000_000
     return F.coalesce(F.floor(at / width).cast("long"), F.lit(FIRST_SLICE))
-
-
-def _carried(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """For each slice but a key's first, the end of the slice before it.
-
-    Slices are grouped by their number without its low bits. Within a group a window looks one
-    slice back; a group's first slice gets the end of the group before, found alike one level up.
-    So no task has all slices of a key.
-    """
-    # From zero up, so that the highest bits are the same for all.
-    out, rows = None, ends.withColumn("_at", F.col("_slice") - FIRST_SLICE)
-    for level in range(1, LEVELS + 1):
-        group = [*keys, "_group"]
-        # The last level takes what is left, one row for each group of the level before.
-        shift = GROUP_BITS if level < LEVELS else 63
-        rows = rows.withColumn("_group", F.shiftright("_at", shift))
-        window = Window.partitionBy(*group).orderBy("_at")
-        seen = rows.select("*", F.lag("_end").over(window).alias("_before"))
-        found = seen.where(F.col("_before").isNotNull()).select(
-            *keys, "_slice", F.col("_before").alias("_end")
-        )
-        out = found if out is None else out.unionAll(found)
-        # Upwards goes each group's last end, to be put before the first slice of the next group.
-        rows = rows.groupBy(*group).agg(
-            F.min("_slice").alias("_slice"), F.max_by("_end", "_at").alias("_end")
-        ).withColumnRenamed("_group", "_at")
-    return out

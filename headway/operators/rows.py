@@ -80,12 +80,15 @@ def day_sort(df: DataFrame, keys: Sequence[str], lead: Sequence[str] = ("date",)
 def distinct_sorted(
     df: DataFrame, keys: Sequence[str], partitions: int, lead: Sequence[str] = ("date",)
 ) -> DataFrame:
-    """Full-row distinct in the order of :func:`day_sort`, over so many partitions.
+    """Full-row distinct in the order of :func:`day_sort`, over so many partitions, in one shuffle.
 
-    Each task drops its own copies first. Ranges then hold all copies of a row, as they are cut by
-    the keys and a hash of the rest, so the sort and the distinct share its one shuffle of what is
-    left.
+    Ranges are cut by the lead columns, the keys and a hash of the rest, so each holds all copies of
+    its rows: the distinct and the sort need no exchange of their own, and a key that holds many rows
+    is split. (If a key is a floating-point number, which Spark normalises before it compares, or a
+    literal, Spark adds the exchanges that it then needs; the result is the same.)
     """
-    once = distinct_rows(df)
-    order = _sort_order(once, keys, lead)
-    return once.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in (*lead, *keys)]
+    hashed = df.withColumn("_rest", F.xxhash64(*rest) if rest else F.lit(0).cast("long"))
+    order = [*[F.col(c).asc_nulls_last() for c in (*lead, *keys)], F.col("_rest")]
+    ranges = hashed.repartitionByRange(partitions, *order)
+    return ranges.distinct().orderBy(*order).drop("_rest")

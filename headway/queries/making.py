@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 from itertools import chain, repeat
 
@@ -14,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from headway.feeds import LONG, STRING
 from headway.sources import wire
-from headway.sources.objects import open_store, qualified
+from headway.sources.objects import appearing_whole, open_store, qualified
 
 
 def pack(
@@ -84,34 +83,27 @@ def _fill(messages: list, column: pa.StructArray) -> None:
 def put_objects(objects: DataFrame, lake: str) -> int:
     """Stores ``content`` under ``key`` for every row and returns how many there were.
 
-    A repeated attempt rewrites the same bytes under the same key. Files appear whole: they
-    are written beside ``raw/`` and moved into place, or rely on atomic puts where the
-    store has them.
+    A repeated attempt rewrites the same bytes under the same key. Files appear whole.
     """
     lake = qualified(objects.sparkSession, lake)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(lake)
-        moves = store.type_name in ("local", "hdfs")
-        made = set()
         for batch in batches:
             for key, content in zip(*[c.to_pylist() for c in batch.columns]):
-                target = f"{base}/{key}"
-                folder = target.rpartition("/")[0]
-                first = f"{base}/_writing/{uuid.uuid4().hex}" if moves else target
-                for needed in {folder, first.rpartition("/")[0]} - made if moves else ():
-                    store.create_dir(needed, recursive=True)
-                    made.add(needed)
-                with store.open_output_stream(first) as sink:
+                with appearing_whole(store, base, f"{base}/{key}") as sink:
                     sink.write(content)
-                if moves:
-                    store.move(first, target)
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     written = objects.select("key", "content").mapInArrow(run, "n long")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def write_days(sorted_rows: DataFrame, path: str) -> None:
+    """Writes rows already sorted by ``date`` first, a folder a day."""
+    sorted_rows.write.partitionBy("date").option("compression", "zstd").parquet(path)
+
+
 def with_positions(table: DataFrame) -> DataFrame:
     """Adds ``position``: the place of each row within its day, in file order, from 1.
 

@@ -13,8 +13,9 @@ from headway.operators import quality, rows
 from headway.operators.capture import drop_unchanged
 from headway.queries import making, query, tables
 from headway.queries.tables import EVENTS, events, table
-from headway.sources import curated, snapshots
+from headway.sources import snapshots
 from headway.sources.shared import shared_folder
+from headway.streaming.capture import changed_only
 
 
 @query("""
@@ -168,7 +169,7 @@ def day_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.when(F.col("event_type") != "error", F.col("k")).alias("k"),
     )
-    curated.write_days(rows.day_sort(keyed, ["k", "event_id"]), path)
+    making.write_days(rows.day_sort(keyed, ["k", "event_id"]), path)
     schema = T.StructType([*keyed.schema.fields[1:], keyed.schema.fields[0]])
     written = spark.read.schema(schema).parquet(path)
     return making.with_positions(written).withColumn("date", F.col("date").cast("string"))
@@ -306,12 +307,15 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.completeness(quality.snapshot_accounting(hourly, ["feed", "date"]), 24)
 
 
-@query("""
+CHANGED = """
     SELECT event_id, user_id, event_type
     FROM (SELECT *, lag(event_type) OVER w AS before, row_number() OVER w AS n
           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
     WHERE n = 1 OR event_type IS DISTINCT FROM before
-""", name="drop_unchanged")
+"""
+
+
+@query(CHANGED, name="drop_unchanged")
 def change_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user that differ in type from the one before."""
     kept = drop_unchanged(
@@ -348,3 +352,21 @@ def captured_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kept = drop_unchanged(polls, ["feed"], ["at", "event_id"], "identity", 60)
     return kept.select("feed", "key", "identity")
+
+
+@query(CHANGED)
+def captured_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of :func:`change_only` as a stream. They come in four instalments by time, and
+    the stream is started anew for each, to go on from its checkpoint."""
+    lake = shared_folder(spark, "polls")
+    polls = events(spark, sf_dir).select("event_id", "user_id", "event_type", "at", "epoch")
+    first, last = polls.agg(F.min("epoch"), F.max("epoch")).first()
+    instalment = F.floor((F.col("epoch") - first) * 4 / (last - first + 1))
+    for part in range(4):
+        polls.where(instalment == part).write.mode("append").parquet(f"{lake}/polls")
+        stream = spark.readStream.schema(polls.schema).parquet(f"{lake}/polls")
+        changed = changed_only(stream, ["user_id"], ["at", "event_id"], "event_type")
+        kept = changed.select("event_id", "user_id", "event_type").writeStream.format("parquet")
+        kept = kept.option("path", f"{lake}/kept").option("checkpointLocation", f"{lake}/progress")
+        kept.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{lake}/kept")

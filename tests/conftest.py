@@ -13,6 +13,7 @@ def make_session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .appName("headway-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

@@ -4,12 +4,14 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from headway.feeds import CAPTURED_FEEDS, LONG, STRING, FeedSpec, registry, struct, uncurated
 from headway.functions import keys
 from headway.operators import capture, quality, rows
 from headway.operators.capture import drop_unchanged
+from headway.streaming.capture import changed_only
 
 
 def test_feeds_and_specs_line_up():
@@ -80,13 +82,29 @@ def test_day_sort_puts_nulls_last(spark):
     ]
 
 
-def test_distinct_sorted_is_one_shuffle_of_what_is_left(spark, capsys):
-    df = spark.range(3000).selectExpr("'d' AS date", "id % 700 AS k", "id % 2 AS n")
+def test_distinct_sorted_is_one_shuffle(spark, capsys):
+    df = spark.range(30000).selectExpr("concat('d', id % 3) AS date", "id % 700 AS k", "id % 2 AS n")
     out = rows.distinct_sorted(df, ["k"], 4)
     got = [tuple(r) for r in out.collect()]
-    assert len(got) == len(set(got)) == 700 * 2 // (2 if 700 % 2 == 0 else 1)
-    assert [g[1] for g in got] == sorted(g[1] for g in got)
+    assert len(got) == len(set(got)) == 2100
+    assert [g[:2] for g in got] == sorted(g[:2] for g in got)
     assert out.rdd.getNumPartitions() == 4
+    capsys.readouterr()
+    out.explain()
+    assert capsys.readouterr().out.count("Exchange ") == 1
+
+
+def test_distinct_sorted_takes_all_there_is(spark):
+    data = [("d", None, [(1,)], 0.0), ("d", None, [(1,)], -0.0), ("d", "a", None, None), ("d", "a", None, None)]
+    df = spark.createDataFrame(data, "date string, k string, items array<struct<n:int>>, x double")
+    assert len(rows.distinct_sorted(df, ["k"], 3).collect()) == 2
+    # A literal or a floating-point number as a key.
+    other = spark.range(3000).selectExpr("'d' AS date", "-(id % 700) / 7.0D AS k", "id % 2 AS n")
+    got = [tuple(r) for r in rows.distinct_sorted(other, ["k"], 4).collect()]
+    assert len(got) == 700 and [g[1] for g in got] == sorted(g[1] for g in got)
+    keys_only = spark.createDataFrame([("d", 1), ("d", 1), ("c", 2)], "date string, k int")
+    got = [tuple(r) for r in rows.distinct_sorted(keys_only, ["k"], 2).collect()]
+    assert got == [("c", 2), ("d", 1)]
 
 
 def test_one_sort_key_spreads_over_partitions(spark):
@@ -173,12 +191,76 @@ def test_slices_are_carried_over_gaps_of_any_size(spark, monkeypatch):
     assert _kept(spark, polls, 1) == sorted(want, key=str)
 
 
-def test_no_window_has_all_slices_of_a_key(spark, capsys):
+def test_no_window_has_all_slices_of_a_key_and_one_scan_is_enough(spark, capsys, tmp_path):
     df = spark.createDataFrame([("f", 1, 0, "A")], "feed string, t long, n long, identity string")
-    drop_unchanged(df, ["feed"], ["t", "n"], "identity", 10).explain()
-    windows = [line for line in capsys.readouterr().out.splitlines() if "windowspecdefinition(" in line]
+    df.write.parquet(f"{tmp_path}/polls")
+    polls = spark.read.parquet(f"{tmp_path}/polls")
+    drop_unchanged(polls, ["feed"], ["t", "n"], "identity", 10).explain()
+    plan = capsys.readouterr().out
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
     assert windows
-    assert all("windowspecdefinition(feed#" in w and ("_group#" in w or "_slice#" in w) for w in windows)
+    assert all("windowspecdefinition(feed#" in w and ("_at#" in w or "_slice#" in w) for w in windows)
+    assert plan.count("FileScan") == 1
+
+
+def test_names_of_columns_do_not_matter(spark):
+    df = spark.createDataFrame(
+        [("f", 0, "A", 1), ("f", 1, "A", 2), ("f", 70, "B", 3)], "_slice string, _at long, _kept string, _First int"
+    )
+    kept = drop_unchanged(df, ["_slice"], ["_at"], "_kept", 10)
+    assert kept.columns == df.columns
+    assert sorted(r._First for r in kept.collect()) == [1, 3]
+
+
+def test_stream_keeps_what_the_batch_keeps(spark, tmp_path):
+    rng = random.Random(3)
+    polls = sorted(
+        (rng.randrange(400), n, rng.choice(["hot", "hot", "cold", None]), rng.choice(["A", "B", None]))
+        for n in range(500)
+    )
+    df = spark.createDataFrame(polls, "t long, n long, feed string, identity string")
+    want = drop_unchanged(df, ["feed"], ["t", "n"], "identity", 50)
+    for first, last in ((0, 120), (120, 121), (121, 300), (300, 500)):
+        # Each time a new query that knows of the ones before only by the checkpoint.
+        spark.createDataFrame(polls[first:last], df.schema).write.mode("append").parquet(f"{tmp_path}/in")
+        source = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+        kept = changed_only(source, ["feed"], ["t", "n"], "identity")
+        sink = kept.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        sink.option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_identity_stays_if_the_payload_was_not_stored(spark, tmp_path):
+    schema = "t long, feed string, identity string"
+
+    def run(store):
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        changed_only(source, ["feed"], ["t"], "identity").writeStream.foreachBatch(store).option(
+            "checkpointLocation", f"{tmp_path}/progress"
+        ).trigger(availableNow=True).start().awaitTermination()
+
+    def stored(batch, _):
+        batch.write.mode("append").parquet(f"{tmp_path}/out")
+
+    def refused(batch, _):
+        raise OSError("access denied")
+
+    spark.createDataFrame([(1, "f", "A")], schema).write.parquet(f"{tmp_path}/in")
+    run(stored)
+    spark.createDataFrame([(2, "f", "B")], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    with pytest.raises(StreamingQueryException):
+        run(refused)
+    run(stored)
+    spark.createDataFrame([(3, "f", "B"), (4, "f", "A")], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    run(stored)
+    assert sorted(r.t for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 4]
+
+
+def test_stream_names_what_it_misses(spark):
+    with pytest.raises(ValueError, match="no column etag"):
+        changed_only(spark.createDataFrame([(1, "f")], "t long, feed string"), ["feed"], ["t"], "etag")
 
 
 def test_time_slices(spark):

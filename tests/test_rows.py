@@ -90,7 +90,7 @@ def test_distinct_sorted_is_one_shuffle(spark, capsys):
     assert [g[:2] for g in got] == sorted(g[:2] for g in got)
     assert out.rdd.getNumPartitions() == 4
     capsys.readouterr()
-    out.explain()
+    rows.distinct_sorted(df, ["k"], 4).explain()
     assert capsys.readouterr().out.count("Exchange ") == 1
 
 

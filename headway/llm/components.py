@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.stage import staged
+from headway.llm.stage import discard, staged
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
     links = staged(links.select("a", "b").where("a != b").distinct(), "links")
     before = None
     while True:
-        links = staged(_star(_star(links, True), False), "stars")
+        last, links = links, staged(_star(_star(links, True), False), "stars")
+        discard(last)
         mark = links.agg(
             F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))
         ).first()

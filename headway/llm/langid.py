@@ -21,19 +21,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from headway.llm.stage import slices, staged
+from headway.llm.stage import discard, slices, staged
 
 ORDER = 4
-# Labelled texts of a language that are looked at, those of smallest hash. Its model is learned from
-# them but for every fifth, which calibrates rejection.
+# Labelled texts of a language that are looked at, those of smallest hash, and their bytes, of which
+# the last text may pass the bound. Its model is learned from them but for every fifth, which
+# calibrates rejection.
 SAMPLE_TEXTS = 1_500
+SAMPLE_BYTES = 32 << 20
 CALIBRATES = 5
 # Share of a language's own calibration texts that would be rejected.
 REJECTED = 0.005
 # Symbols of evidence that the score stands for.
 EVIDENCE = 20
+# Chunks whose scores a task remembers, and their characters.
 KNOWN_WORDS = 300_000
-LONGEST_WORD = 64
+KNOWN_CHARACTERS = 16 << 20
 UNKNOWN = "und"
 _PAD, _END = 1, 2
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -61,12 +64,15 @@ def _symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def letters(chunk: str) -> list[str]:
-    """Words of a white-space-delimited chunk; a longer one than LONGEST_WORD in parts."""
-    return [
-        word[at : at + LONGEST_WORD]
-        for word in _LETTERS.findall(chunk.lower())
-        for at in range(0, len(word), LONGEST_WORD)
-    ]
+    """Words of a white-space-delimited chunk: its runs of letters."""
+    out = []
+    for word in _LETTERS.findall(chunk.lower()):
+        if word.isalpha():
+            out.append(word)
+        else:
+            # Numbers such as a superscript two are neither digits to the pattern nor letters.
+            out += "".join(c if c.isalpha() else " " for c in word).split()
+    return out
 
 
 def _mask(n: int) -> np.uint64:
@@ -172,7 +178,7 @@ class Scorer:
     """Cross-entropies of texts; each distinct chunk between white space is scored once."""
 
     def __init__(self, model: Model):
-        self.model, self.place = model, {}
+        self.model, self.place, self.size = model, {}, 0
         self.rows = np.zeros((0, len(model.languages) + 1))
 
     def _learn(self, chunks: list[str]) -> None:
@@ -191,6 +197,7 @@ class Scorer:
                 rows[:, column] = np.bincount(owner, weights=by_word, minlength=len(chunks))
             rows[:, -1] = np.bincount(owner, weights=sizes, minlength=len(chunks))
         start = len(self.place)
+        self.size += sum(map(len, chunks))
         self.place.update(zip(chunks, range(start, start + len(chunks)), strict=True))
         self.rows = np.concatenate([self.rows[:start], rows])
 
@@ -199,8 +206,8 @@ class Scorer:
         split = [(text or "").split() for text in texts]
         every = set().union(*split)
         new = every.difference(self.place)
-        if len(self.place) + len(new) > KNOWN_WORDS:
-            self.place, new = {}, every
+        if len(self.place) + len(new) > KNOWN_WORDS or self.size > KNOWN_CHARACTERS:
+            self.place, self.size, new = {}, 0, every
         self._learn(sorted(new))
         sums = np.zeros((len(texts), len(self.model.languages) + 1))
         for number, chunks in enumerate(split):
@@ -216,22 +223,47 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def learn(labelled: DataFrame) -> Model | None:
-    """The model of doc_id, text and lang, of which rows with a null are left out; None without
-    rows. Only ids and languages of all rows are looked at to choose the bounded sample."""
-    spark = labelled.sparkSession
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id"))
+def _sample(labelled: DataFrame) -> DataFrame:
+    """lang, text and calibrates of the texts that are learned from."""
+    known = labelled.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "lang", F.xxhash64("text").alias("text_key"), "text",
+    )
+    key = ["lang", "doc_id", "text_key"]
+    # A repeated row counts once, however often it is there.
+    ids = staged(
+        known.groupBy(*key).agg(F.max(F.octet_length("text")).cast("long").alias("n_bytes"))
+        .withColumn("draw", F.xxhash64("doc_id", "text_key", F.lit(9))),
+        "language-ids",
+    )
+    # Draws are uniform over 64 bits, so of a language with n texts those below SAMPLE_TEXTS / n of
+    # the range are as many as are wanted; twice that are ranked, and the rest never meet.
+    share = F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_TEXTS) / F.col("n"))
+    cuts = ids.groupBy("lang").agg(F.count("*").alias("n")).select(
+        "lang", F.when(share < 1, share * 2.0**64 - 2.0**63).alias("cut")
+    )
+    near = ids.join(cuts, "lang").where(F.col("cut").isNull() | (F.col("draw") <= F.col("cut")))
+    window = W.partitionBy("lang").orderBy("draw", "doc_id", "text_key")
+    before = F.coalesce(F.sum("n_bytes").over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     chosen = (
-        labelled.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-        .select("doc_id", "lang").withColumn("rank", rank)
-        .where(F.col("rank") <= SAMPLE_TEXTS)
+        near.withColumn("rank", F.row_number().over(window)).withColumn("before", before)
+        .where((F.col("rank") <= SAMPLE_TEXTS) & (F.col("before") < SAMPLE_BYTES))
     )
-    # At most SAMPLE_TEXTS rows of an id and a number for each language; texts are not shuffled.
-    texts = staged(
-        labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
-        .select("lang", "text", (F.col("rank") % CALIBRATES == 0).alias("calibrates")),
-        "language-sample",
+    # At most SAMPLE_TEXTS rows of an id and a number for each language; texts are not shuffled to
+    # them, and copies of a row are told by their key.
+    texts = known.join(F.broadcast(chosen.select(*key, "rank")), key).groupBy(*key, "rank").agg(
+        F.first("text").alias("text")
     )
+    out = staged(texts.select("lang", "text", (F.col("rank") % CALIBRATES == 0).alias("calibrates")), "language-sample")
+    discard(ids)
+    return out
+
+
+def learn(labelled: DataFrame) -> Model | None:
+    """The model of doc_id, text and lang, of which rows with a null are left out; None without
+    rows. Ids, languages and sizes of all rows are looked at to choose the sample, which is
+    bounded by texts and bytes for each language."""
+    spark = labelled.sparkSession
+    texts = _sample(labelled)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -258,11 +290,12 @@ def learn(labelled: DataFrame) -> Model | None:
     grams = table.column("gram").to_numpy().astype(np.int64).view(np.uint64)
     n = table.column("n").to_numpy()
     model = build({lang: (grams[langs == lang], n[langs == lang]) for lang in sorted(set(langs))})
-    held = spark.sparkContext.broadcast(model)
+    # Plain arrays: a broadcast does not carry the class to workers that lack this package.
+    held = spark.sparkContext.broadcast(vars(model))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
-        place = {lang: i for i, lang in enumerate(held.value.languages)}
+        scorer = Scorer(Model(**held.value))
+        place = {lang: i for i, lang in enumerate(scorer.model.languages)}
         for batch in slices(batches, "text"):
             entropy, symbols = scorer.entropies(batch.column("text").to_pylist())
             langs = batch.column("lang").to_pylist()
@@ -288,10 +321,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """All rows of ``docs`` (doc_id and text, other columns are left out) as doc_id, lang_pred,
     score and rejected. A null text, or one without a letter, is ``und`` with score 0; without a
     model every text is. Of equally likely languages the first by name is taken."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model = Model(**held.value) if held.value else None
         scorer = Scorer(model) if model else None
         for batch in slices(batches, "text"):
             n = batch.num_rows

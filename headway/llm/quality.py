@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from headway.llm.stage import id_key, slices, staged
+from headway.llm.stage import slices, staged
 from headway.llm.words import SPACE, WordSplitter, shingles
 
 # Labelled rows that rules are learned from, at most: those of smallest hash.
@@ -57,7 +58,8 @@ def _byte_set(values: bytes) -> np.ndarray:
     return table
 
 
-def _measurer():
+def _measurer(carried: bool = False):
+    """Counts of texts, after their doc_id and text_key, or after all columns there are."""
     wanted = {
         "word_chars": ~SPACE & ~_byte_set(bytes(range(0x80, 0xC0))),
         "n_symbols": _byte_set(SYMBOLS),
@@ -99,10 +101,11 @@ def _measurer():
             out["n_repeat_words"] = np.bincount(
                 words.text[covered[: len(words.text)]], minlength=n
             )
+            # The content comes last.
+            kept = batch.schema.names[:-1] if carried else ["doc_id", "text_key"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key")]
-                + [pa.array(out[name], pa.int64()) for name in COUNTS],
-                ["doc_id", "text_key", *COUNTS],
+                [batch.column(name) for name in kept] + [pa.array(out[name], pa.int64()) for name in COUNTS],
+                [*kept, *COUNTS],
             )
 
     return run
@@ -219,13 +222,23 @@ def rejects(rules: list[Rule]) -> Column:
     return F.lit(None).cast("int") if out is None else out
 
 
+def _chosen(labels: DataFrame, sample_rows: int) -> DataFrame:
+    return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "quality"
+    ).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "quality").limit(sample_rows)
+
+
+def failed() -> Column:
+    """Whether counts are beyond the fixed limits."""
+    return (F.col("n_words") < MIN_WORDS) | (
+        100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")
+    )
+
+
 def fit(measured: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Rules from ``labels`` (doc_id, quality with 0 for a document to reject) of measured texts.
     Rows with a null label or doc_id are left out."""
-    chosen = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "quality"
-    ).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "quality").limit(sample_rows)
-    known = chosen.join(measured, "doc_id").select(
+    known = _chosen(labels, sample_rows).join(measured, "doc_id").select(
         "doc_id", "text_key", (F.col("quality") == 0).alias("bad"), *[ratio(r).alias(r) for r in RATIOS]
     )
     # Pairs of a repeated document and its labels may be more than either.
@@ -240,20 +253,28 @@ def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     rejects, else null) and kept. A null or empty text has no words and fails the fixed limits;
     without labels only those hold; repeated rows are judged alike."""
     measured = staged(measure(docs), "measured")
-    base = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")
-    )
     return (
-        measured.withColumn("base_failed", base)
+        measured.withColumn("base_failed", failed())
         .withColumn("rule", rejects(fit(measured, labels, sample_rows)))
         .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
     )
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that are kept, with all their columns."""
-    kept = judge(docs, labels).where("kept").select(
-        id_key().alias("__doc"), F.col("text_key").alias("__key")
-    )
-    same = (id_key(docs["doc_id"]) == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__key"))
-    return docs.join(kept, same, "left_semi")
+def keep(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Rows of ``docs`` that are kept, with all their columns; as :func:`judge` has it. Rules are
+    learned first, on the labelled texts alone; the rest is then measured and filtered in one go."""
+    chosen = _chosen(labels, sample_rows)
+    # At most ``sample_rows`` rows of an id.
+    ids = F.broadcast(chosen.select("doc_id").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rules = fit(staged(measure(texts.join(ids, "doc_id", "left_semi")), "labelled"), labels, sample_rows)
+    # Positions stand for the columns' names, which may be those of the counts.
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(columns, docs.schema, strict=True)])
+    for name in COUNTS:
+        schema.add(name, T.LongType())
+    text = F.col(columns[docs.columns.index("text")])
+    content = F.coalesce(text, F.lit("")).cast("binary").alias("content")
+    measured = docs.toDF(*columns).select("*", content).mapInArrow(_measurer(True), schema)
+    good = ~failed() & rejects(rules).isNull()
+    return measured.where(good).select(*[F.col(c).alias(n) for c, n in zip(columns, docs.columns, strict=True)])

@@ -61,7 +61,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left as text; a character of which a part went shows as U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

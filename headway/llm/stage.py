@@ -29,6 +29,18 @@ def as_id(key: str | Column) -> Column:
     return F.nullif(column, F.lit(NO_ID))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like those wanted that the table does not have."""
+    taken = {name.lower() for name in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Writes a table as Parquet and reads it again: lineage ends there, and it is computed once."""
     spark = df.sparkSession

@@ -129,7 +129,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
 
-PLACES = "doc_id long, text_key int, low int, high int, pointer int"
+PLACES = "doc_id long, text_key long, low int, high int, pointer int"
 RUN_SCHEMA = f"{PLACES}, bucket long, name long"
 
 
@@ -185,7 +185,7 @@ def _run_finder(depth: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": np.array([k[0] for k in keys], dtype=np.int64)[owner],
-                    "text_key": np.array([k[1] for k in keys], dtype=np.int32)[owner],
+                    "text_key": np.array([k[1] for k in keys], dtype=np.int64)[owner],
                 }
                 | {c: v.astype(np.int32) for c, v in columns.items()}
                 | {"bucket": _signed(short[pointer[low]]), "name": _signed(name)}
@@ -221,7 +221,7 @@ def _asked_parts(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tupl
                 n = len(low)
                 pieces.append(content[first:end])
                 rows.append((
-                    np.full(n, doc, dtype=np.int64), np.full(n, key, dtype=np.int32),
+                    np.full(n, doc, dtype=np.int64), np.full(n, key, dtype=np.int64),
                     low, high, pointer, weight, np.full(n, size - first),
                 ))
                 size += end - first
@@ -270,7 +270,7 @@ def _stretch_cutter(depth: int):
     return run
 
 
-WINDOW_SCHEMA = "doc_id long, text_key int, place int, weight int, name_a long, name_b long"
+WINDOW_SCHEMA = "doc_id long, text_key long, place int, weight int, name_a long, name_b long"
 
 
 def _window_lister(depth: int):
@@ -379,7 +379,7 @@ def cut_out(content: bytes, low: np.ndarray, high: np.ndarray, depth: int):
 def _contents(docs: DataFrame) -> DataFrame:
     return docs.select(
         id_key().alias("doc_id"),
-        F.hash("text").alias("text_key"),
+        F.xxhash64("text").alias("text_key"),
         F.coalesce("text", F.lit("")).cast("binary").alias("content"),
     )
 
@@ -431,18 +431,26 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 def strip_repeats(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``docs`` without the repeated bytes in ``text``; a character of which a part goes, goes
     whole. Other columns stay, a null text stays null."""
-    own = _listed(repeated_spans(_contents(docs), depth)).select(
-        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"),
-        F.col("spans").alias("__spans"),
+    place = docs.columns.index("text")
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    # Positions stand for the columns' names, which may be those of the spans.
+    named = docs.toDF(*columns)
+    spans = _listed(repeated_spans(_contents(docs), depth))
+    same = (id_key(columns[docs.columns.index("doc_id")]) == spans["doc_id"]) & (
+        F.xxhash64(columns[place]) == spans["text_key"]
     )
 
-    @F.udf("string", useArrow=True)
-    def stripped(text, spans):
-        if not spans:
-            return text
-        low, high = (np.array([s[end] for s in spans], dtype=np.int64) for end in ("low", "high"))
-        return cut_out(text.encode(), low, high, depth)[0].decode("utf-8", "ignore")
-
-    same = (id_key(docs["doc_id"]) == F.col("__doc")) & (F.hash(docs["text"]) == F.col("__key"))
-    joined = docs.join(own.hint("merge"), same, "left")
-    return joined.withColumn("text", stripped("text", "__spans")).select(*docs.columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            for number, own in enumerate(batch.column("spans")):
+                if own.is_valid and len(own):
+                    low, high = own.values.flatten()
+                    left = cut_out(texts[number].encode(), low.to_numpy(), high.to_numpy(), depth)[0]
+                    texts[number] = left.decode("utf-8", "ignore")
+            arrays = list(batch.columns[:-1])
+            arrays[place] = pa.array(texts, arrays[place].type)
+            yield pa.RecordBatch.from_arrays(arrays, columns)
+
+    joined = named.join(spans.hint("merge"), same, "left").select(*columns, "spans")
+    return joined.mapInArrow(run, named.schema).toDF(*docs.columns)

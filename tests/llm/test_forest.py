@@ -86,9 +86,52 @@ def test_empty_table(empty):
     assert forest.one_of_each(empty).collect() == []
 
 
-def test_matched_depth_meets_the_recall():
-    depth = forest.matched_depth(0.8, 24, 8, 0.999)
-    assert 1 - (1 - 0.8**depth) ** 24 >= 0.999 > 1 - (1 - 0.8 ** (depth + 1)) ** 24
+def test_prefixes_are_shortened_until_the_recall():
+    lengths = forest.depths(0.8, 24, 8, 0.999)
+    assert lengths == [8, 7, 6]
+    assert forest.recall_at(6, 0.8, 24) >= 0.999 > forest.recall_at(7, 0.8, 24)
+    assert forest.depths(0.99, 24, 8, 0.9) == [8]
+    assert forest.depths(0.1, 2, 5, 1.1) == [5, 4, 3, 2, 1]
+
+
+def test_labels_are_prefixes_of_each_other():
+    import pyarrow as pa
+
+    texts = [b"a b c d e f g", b"a b c d e f g", b"", b"a b c d e f x", b"q"]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": range(5), "text_key": texts, "content": texts},
+        schema=pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("content", pa.binary())]),
+    )
+    [long] = forest._labeller(5, 7, 2, 5)(iter([batch]))
+    [short] = forest._labeller(5, 7, 2, 5)(iter([batch.slice(3, 1)]))
+    assert long.column("doc_id").to_pylist() == [0, 1, 3, 4]
+    labels = long.column("labels").to_pylist()
+    assert labels[0] == labels[1] and {len(t) for t in labels[0]} == {4} and len(labels[0]) == 7
+    assert short.column("labels").to_pylist() == [labels[2]]
+    # Two labels that agree at a length agree at all shorter ones.
+    for a, b in zip(labels[0], labels[2]):
+        same = [x == y for x, y in zip(a, b)]
+        assert same == sorted(same, reverse=True)
+
+
+def test_weak_chains_do_not_join(documents):
+    """Texts each some 0.7 alike to the next: candidates, but no links."""
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(40):
+        words = words[6:] + [f"x{rnd.random()}" for _ in range(6)]
+        for at in rnd.sample(range(len(words)), 4):
+            words[at] = f"y{rnd.random()}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    assert result(forest.near_duplicates(documents(rows))) == brute(rows)
+
+
+def test_pivots_of_many_classes(documents, monkeypatch):
+    monkeypatch.setattr(forest, "PIVOT_CLASSES", 3)
+    rows = made()
+    assert result(forest.near_duplicates(documents(rows))) == brute(rows)
 
 
 def test_components_of_chains_and_stars(spark):

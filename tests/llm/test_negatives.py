@@ -1,0 +1,145 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from headway.llm import negatives
+
+SCHEMA = "vec_id long, label int, embedding array<double>"
+
+
+def brute(rows, every=5, k=5, n=3):
+    clean = []
+    for vec_id, label, v in rows:
+        if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        clean.append((vec_id, label, [math.floor(256 * x) for x in v]))
+    # Nulls last.
+    key = lambda c: (-c[0], c[1] is None, c[1] or 0, c[2])
+    out = []
+    for a, (vec_id, label, v) in enumerate(clean):
+        if vec_id is None or vec_id % every:
+            continue
+        scored = [(sum(x * y for x, y in zip(v, w)), i, b, lab) for b, (i, lab, w) in enumerate(clean)
+                  if b != a and len(w) == len(v)]
+        positives = sorted((s[:3] for s in scored if s[3] == label), key=key)[:k]
+        for ps, pid, _ in positives:
+            ranged = sorted((s[:3] for s in scored if s[3] != label and 50 * ps <= 100 * s[0] <= 95 * ps), key=key)
+            out += [(vec_id, pid, r, i, ps, s) for r, (s, i, _) in enumerate(ranged[:n], 1)]
+    return out
+
+
+def mined(spark, rows, every=5):
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = negatives.mine(df, F.col("vec_id") % every == 0)
+    return [tuple(r) for r in got.collect()]
+
+
+def same(got, want):
+    order = lambda t: [(x is None, x or 0) for x in t]
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert want
+
+
+def vectors(n, dims, seed, labels=4, spread=0.7):
+    rnd = np.random.default_rng(seed)
+    centres = rnd.standard_normal((labels, dims))
+    label = rnd.integers(0, labels, n)
+    x = centres[label] * spread + rnd.standard_normal((n, dims))
+    return [(int(i), int(label[i]), x[i].tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("chunk, block", [(1 << 14, 1 << 16), (70, 16)])
+def test_against_brute_force(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(negatives, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(negatives, "BLOCK_ANCHORS", block)
+    monkeypatch.setattr(negatives, "STRIDE", 16)
+    rows = vectors(400, 6, 1)
+    same(mined(spark, rows), brute(rows))
+
+
+def test_bad_rows_null_ids_and_other_lengths(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(120, 4, 2)
+    rows += [(None, 1, [1.0, 2.0, 0.5, 0.0]), (200, None, [1.0] * 4), (205, 1, None), (210, 1, [1.0, None, 1.0, 1.0]),
+             (215, 1, [nan, 1.0, 1.0, 1.0]), (220, 1, [inf, 1.0, 1.0, 1.0]), (225, 2, [0.0] * 4), (230, 2, [])]
+    rows += [(300 + i, i % 2, [1.0 + i / 50, 2.0]) for i in range(20)]
+    same(mined(spark, rows), brute(rows))
+
+
+def test_ties_and_repeated_rows(spark):
+    rows = [(i, i % 2, [1.0, 0.5] if i < 60 else [0.7, 0.35]) for i in range(90)]
+    rows += rows[:12] + [(i, i % 3, [-1.0, 0.25]) for i in range(100, 130)]
+    same(mined(spark, rows), brute(rows))
+
+
+def test_one_vector_that_a_third_of_rows_share(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "CHUNK_ROWS", 64)
+    rows = vectors(300, 8, 3, labels=3)
+    rows = [(i, lab, [0.9] * 8 if i % 3 == 0 else v) for i, lab, v in rows]
+    same(mined(spark, rows), brute(rows))
+
+
+def test_large_components_are_exact(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, int(i % 3), (rnd.standard_normal(5) * 10.0 ** rnd.integers(-3, 6)).tolist()) for i in range(150)]
+    same(mined(spark, rows), brute(rows))
+
+
+def test_vectors_beyond_64_bits_take_no_part(spark):
+    rows = vectors(60, 3, 6)
+    same(mined(spark, [*rows, (100, 1, [1e300, 0.0, 0.0]), (105, 1, [9e6, 0.0, 0.0])]), brute(rows))
+
+
+def test_few_rows_empty_tables_and_other_columns(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(0, 1, [1.0])]) == []
+    assert mined(spark, [(0, 1, [1.0]), (1, 2, [0.9])]) == []
+    rows = [(0, 1, [1.0]), (1, 1, [1.0]), (2, 2, [0.9])]
+    assert mined(spark, rows) == [(0, 1, 1, 2, 256 * 256, 256 * 230)]
+    more = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS row", "true AS anchor", "2 AS dims", "3 AS vector")
+    assert len(negatives.mine(more, F.col("vec_id") % 5 == 0).collect()) == 1
+
+
+def test_bounds_hold_for_every_member():
+    rnd = np.random.default_rng(7)
+    x = rnd.integers(-300, 300, (500, 12))
+    members = rnd.integers(-300, 300, (200, 12))
+    centres, cluster, widest = negatives.clusters_of(members)
+    assert len(centres) > 1
+    lengths = negatives._lengths(x)
+    units = negatives._units(x, lengths)
+    products = x @ members.T / negatives._lengths(members)
+    for c in range(len(centres)):
+        bound = negatives.bounds(units, lengths, centres[c], widest[c])
+        assert (products[:, cluster == c] <= bound[:, None] + 1e-6).all()
+
+
+def test_walks_end_early(monkeypatch):
+    """Rows far from a tight cluster are not scored once the list is certified."""
+    rnd = np.random.default_rng(8)
+    near = np.array([200, 0, 0, 0]) + rnd.integers(-5, 5, (300, 4))
+    far = np.array([0, 200, 0, 0]) + rnd.integers(-5, 5, (20_000, 4))
+    x = np.r_[near, far].astype(np.int64)
+    anchors = (np.array([200, 0, 0, 0]) + rnd.integers(-3, 3, (20, 4))).astype(np.int64)
+    centres, cluster, widest = negatives.clusters_of(anchors)
+    one = (len(anchors), 1)
+    wanted = negatives.Wanted({
+        "row": -np.arange(1, 21), "label": np.zeros(20), "x": anchors, "lengths": negatives._lengths(anchors),
+        "low": np.full(one, negatives.NOTHING), "high": np.full(one, -negatives.NOTHING),
+    }, 5)
+    lengths = negatives._lengths(x)
+    chunk = {"row": np.arange(len(x)), "vec_id": np.arange(len(x)), "null": np.zeros(len(x), bool),
+             "label": np.ones(len(x)), "x": x, "lengths": lengths, "unit": negatives._units(x, lengths)}
+    scored = []
+    whole = negatives._scores
+    monkeypatch.setattr(negatives, "_scores", lambda rows, *a: scored.append(len(rows)) or whole(rows, *a))
+    for c in range(len(centres)):
+        bound = negatives.bounds(chunk["unit"], lengths, centres[c], widest[c])
+        order = np.argsort(-bound)
+        wanted.walk(np.flatnonzero(cluster == c), chunk, order, bound[order], False)
+    assert sum(scored) < 1000 * len(centres)
+    for m in range(20):
+        want = np.sort(x @ anchors[m])[::-1][:5]
+        assert [-s[0] for s in wanted.found[m, 0]] == want.tolist()

@@ -29,9 +29,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return forest.one_of_each(docs)
 
 
+# Length of the strings that repeated_passages looks for, in bytes. Passages of 50 words of prose have
+# 250 bytes or more; every byte of one that occurs again is in such a string of it.
+PASSAGE_BYTES = 200
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 400 bytes that occur again; no row goes."""
-    return _counted(suffixes.strip_repeats(docs))
+    """Documents without the strings of PASSAGE_BYTES that occur again; no row goes."""
+    return _counted(suffixes.strip_repeats(docs, PASSAGE_BYTES))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +45,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document's token pieces lie in the packed sequences."""
+    """Each document's token pieces, as little-endian unsigned 32-bit ids, and where they lie in the
+    packed sequences."""
     pieces = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
     return packing.packed_pieces(
-        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+        pieces.select("doc_id", "piece", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"))
     )
 
 

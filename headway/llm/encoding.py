@@ -3,6 +3,11 @@
 Words are counted over the whole corpus; the most frequent ones, with the ids that merging gives
 them, are compiled into a minimal acyclic transducer (``lexicon``). A task memory-maps it, looks
 up all distinct words of a slice at once and merges only the words it does not hold.
+
+A word stands for what lies between two blanks, with one blank before it, where white space is even.
+Texts with indentation, blank lines or other white space are cut to pretokens instead: one with a blank
+before it is a word like any other, and others are words of their own. Only a text that holds a special
+token is left to the library, and a single word of many kilobytes.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ _PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _UNEVEN = re.compile(r"[^\S \n]")
 _BEYOND = re.compile("[^\x00-ɏ]")
 _CONTROL = re.compile("[\x1c-\x1f]")
+# Before a pretoken that stands for itself, without a blank; no word of an even text starts so.
+_BARE = "\n\n"
 
 
 def split_words(text: str) -> list[str]:
@@ -70,17 +77,45 @@ class Encoder:
     def by_library(self, text: str) -> bytes:
         return id_bytes(np.array(self.library.encode(text, add_special_tokens=False).ids))
 
+    def parts(self, text: str) -> list[str]:
+        """The pretokens of a text. Where kinds of characters may have changed from one version of
+        Unicode to the next, the library's own cut is taken."""
+        if _BEYOND.search(text) or _CONTROL.search(text):
+            return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        return self.pretokens.findall(text)
+
+    def words(self, text: str) -> list[str] | None:
+        """What the text's ids are looked up by, in order; None if it holds a special token."""
+        if not text:
+            return []
+        if self._has_special(text):
+            return None
+        if even(text):
+            return split_words(text)
+        return [
+            part[1:] if part[0] == " " and not part.isspace() else _BARE + part
+            for part in self.parts(text)
+        ]
+
     def merge(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of words as ``split_words`` gives them."""
+        """Ids of words as ``words`` gives them."""
         out: dict[str, bytes] = {}
-        plain = []
+        plain, cut = [], {}
         for word in words:
-            if len(word) > LONG_WORD or _BEYOND.search(word) or self._has_special(word):
-                first = word[0] == "\n"
-                ids = self.by_library(word[1:] if first else " " + word)
-                out[word] = self.line_break + ids if first else ids
+            bare = word.startswith(_BARE)
+            text = word[2:] if bare else word[1:] if word[0] == "\n" else " " + word
+            if len(word) > LONG_WORD or (not bare and self._has_special(word)):
+                ids = self.by_library(text)
+                out[word] = self.line_break + ids if word[0] == "\n" and not bare else ids
+            elif bare:
+                cut[word] = [text]
+            elif _BEYOND.search(word) or _CONTROL.search(word):
+                cut[word] = ["\n"] * (word[0] == "\n") + self.parts(text)
             else:
                 plain.append(word)
+        if cut:
+            ids = self._pretoken_ids([part for parts in cut.values() for part in parts])
+            out |= {word: b"".join(map(ids.__getitem__, parts)) for word, parts in cut.items()}
         if not plain:
             return out
         text = "".join([word if word[0] == "\n" else "\n " + word for word in plain])
@@ -124,32 +159,22 @@ class Encoder:
         self.known.update(self.merge(words))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [split_words(t) if t and even(t) and not self._has_special(t) else None for t in texts]
+        split = [self.words(text or "") for text in texts]
         every = set().union(*(words for words in split if words))
         new = every.difference(self.known)
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known, new = {}, every
         self.learn(new)
         known, out = self.known.__getitem__, []
-        skip = len(self.line_break)
         for text, words in zip(texts, split, strict=True):
-            if words is not None:
-                out.append(b"".join(map(known, words))[skip:])
-            else:
-                out.append(self.uneven(text or ""))
+            if words is None:
+                out.append(self.by_library(text))
+                continue
+            # The first word of an even text counts as a line's first.
+            skip = len(self.line_break) if words and words[0][0] == "\n" and words[0][:2] != _BARE else 0
+            out.append(b"".join(map(known, words))[skip:])
         return out
 
-    def uneven(self, text: str) -> bytes:
-        """A text whose words depend on the white space around them."""
-        if not text:
-            return b""
-        if self._has_special(text) or _CONTROL.search(text) or _BEYOND.search(text):
-            return self.by_library(text)
-        parts = self.pretokens.findall(text)
-        if max(map(len, parts)) > LONG_WORD:
-            return self.by_library(text)
-        return b"".join(map(self._pretoken_ids(parts).__getitem__, parts))
-
 
 class Decoder:
     """Texts of ids, special tokens included."""
@@ -171,11 +196,12 @@ class Decoder:
         return b"".join(map(self.bytes_of.__getitem__, numbers)).decode("utf-8", "replace")
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """How often each word occurs in all texts: word, n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
+        encoder = Encoder(tokenizer)
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
@@ -187,8 +213,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in slices(batches, "text"):
             for text in batch.column("text").to_pylist():
-                if text:
-                    counts.update(split_words(text))
+                counts.update(encoder.words(text or "") or ())
             if len(counts) > KNOWN_WORDS:
                 yield rows()
                 counts.clear()
@@ -201,9 +226,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def build_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON_WORDS) -> Lexicon:
     """The lexicon of the ``size`` most frequent words of ``text``, ties by word; empty without
     texts."""
-    frequent = word_counts(docs).where("length(word) BETWEEN 1 AND 64 AND word != '\n'")
-    top = most_frequent(frequent, ["word"], size).collect()
-    words = [row["word"] for row in top if not _UNEVEN.search(row["word"])]
+    frequent = word_counts(docs, tokenizer).where("length(word) BETWEEN 1 AND 64")
+    words = [row["word"] for row in most_frequent(frequent, ["word"], size).collect()]
     ids = Encoder(tokenizer).merge(words)
     return compile_lexicon(
         {word.encode(): np.frombuffer(ids[word], dtype="<u4") for word in words}

@@ -229,6 +229,8 @@ def _pivot_pairs(parts: DataFrame) -> DataFrame:
 
 def _joined(classes: DataFrame | None, links: DataFrame) -> DataFrame:
     """Classes of nodes, joined by verified links: node, class. Nodes alone are left out."""
+    if links.isEmpty():
+        return classes
     if classes is None:
         return staged(components(links).select("node", F.col("label").alias("class")), "classes")
     of = classes.select(F.col("node"), F.col("class"))
@@ -339,6 +341,8 @@ def near_duplicates(
     classes = _joined(classes, links)
     discard(forest, parts, links)
 
+    if classes is None:
+        classes = staged(texts.select("node", F.col("node").alias("class")).limit(0), "classes")
     within = _dealt(classes, contents, ["class"], [])
     counts = within.mapInArrow(_comparer(k, threshold, False), "a long, b long, n long")
     counts = staged(counts.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links")), "counts")

@@ -17,6 +17,7 @@ all at once, until the nearest ones are all open.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,10 @@ BACK = 20
 # Nodes of a stretch that are compared in the first graph, and the orders that are cut.
 STRETCH = 256
 ORDERS = 24
-ROUNDS = 8
 # Rounds end when less than this share of the links is new.
 SETTLED = 0.01
 # Nodes that a search keeps.
 BEAM = 256
-SEARCH_ROUNDS = 16
 
 
 def usable(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
@@ -208,7 +207,8 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
     start = dealt.mapInArrow(_stretches(degree, STRETCH), LINKS)
     graph = _merged(start.withColumn("fresh", F.lit(True)), degree, "graph0")
     total = max(1, graph.count())
-    for number in range(1, ROUNDS + 1):
+    # Links only become shorter, so rounds come to an end.
+    for number in count(1):
         far = graph.groupBy("u").agg(
             F.when(F.count("*") >= degree, F.max("d")).otherwise(float("inf")).alias("far")
         )
@@ -232,8 +232,7 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, seed: int = 1) -> DataFr
         graph = _merged(old.unionAll(found), degree, f"graph{number}")
         discard(before)
         if graph.where("fresh").count() < SETTLED * total:
-            break
-    return graph.drop("fresh")
+            return graph.drop("fresh")
 
 
 def _merged(links: DataFrame, degree: int, name: str) -> DataFrame:
@@ -270,7 +269,9 @@ def search_graph(graph: DataFrame, nodes: DataFrame, asked: DataFrame, beam: int
         F.col("node").alias("query"), "node", F.lit(0.0).alias("d"),
         F.lit(False).alias("open"),
     )
-    for number in range(SEARCH_ROUNDS):
+    last = None
+    # A search keeps its nearest nodes, which only become nearer, so it comes to an end.
+    for number in count():
         # An open node has given its ways; one met again keeps that mark.
         new = (
             found.where("NOT open").join(ways, "node").select("query", F.col("next").alias("node"))
@@ -281,9 +282,12 @@ def search_graph(graph: DataFrame, nodes: DataFrame, asked: DataFrame, beam: int
         )
         met = found.withColumn("open", F.lit(True)).unionAll(new)
         found = staged(_nearest(met, "query", ["d", "node"], beam), f"beam{number}")
+        if last is not None:
+            discard(last)
+        last = found
         if found.where("NOT open").isEmpty():
-            break
-    return found.select("query", "node")
+            discard(ways, asked)
+            return found.select("query", "node")
 
 
 def nearest(

@@ -67,3 +67,31 @@ def test_empty_table(empty):
     lexicon = encoding.build_lexicon(empty, PATH)
     assert len(lexicon.ends) == 0
     assert encoding.round_trip(empty, PATH, lexicon).collect() == []
+
+
+def test_uneven_and_foreign_texts_go_through_the_lexicon(documents):
+    texts = [
+        "\tif x:\n\t\treturn the  value\n\n\n", "  indented the\n    the\r\nend ", "字 the 日本 語 の\u3000文。the",
+        "Ωmega Σigma\n\nthe", "\x1cthe\x85end", "a 𝔘𝔫𝔦 😀😀 the\n", "'s the 's\n 's  's",
+    ]
+    lexicon = encoding.build_lexicon(documents(texts), PATH, 500)
+    encoder = encoding.Encoder(PATH, lexicon)
+    merged = []
+    merge = encoder.merge
+    encoder.merge = lambda words: merged.extend(words) or merge(words)
+    encoder.by_library = None
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    # The lexicon held all of them, so nothing was merged and nothing left to the library.
+    assert merged == []
+
+
+WHITE = st.sampled_from([" ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", "\u3000", "\x1f", "\x85", ""])
+WORD = st.sampled_from(["the", "'s", "x1", "字字", "Σ", "é", "e\u0301", "!?", "1²½", "😀", "\u200b", "ǅ", "\ud7ff"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(WORD, WHITE), max_size=12).map(lambda p: "".join(a + b for a, b in p)))
+def test_uneven_texts_have_the_ids_of_the_library(text):
+    ids = ENCODER.encode([text])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids

@@ -28,20 +28,23 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each node either has one link, to a smaller one, or is only linked to."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out")).unionAll(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("out"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("out").alias("n"), F.min("out").alias("least"))
+    return roles.where("n > 1 OR (n = 1 AND least = 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest node of the component of each node that has a link: node, label. ``links`` has
-    two long columns a and b. Alternates large and small stars until nothing changes, some
+    two long columns a and b. Alternates large and small stars until only stars are left, some
     log(n) times; each round is written, so that a lost executor costs its tasks only."""
-    links = staged(links.select("a", "b").where("a != b").distinct(), "links")
-    before = None
-    while True:
+    down = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = staged(down.distinct(), "links")
+    while not _are_stars(links):
         last, links = links, staged(_star(_star(links, True), False), "stars")
         discard(last)
-        mark = links.agg(
-            F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))
-        ).first()
-        if tuple(mark) == before:
-            break
-        before = tuple(mark)
     ends = links.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionAll(ends)

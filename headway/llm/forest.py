@@ -197,15 +197,15 @@ def _pair_checker(k: int, threshold: float):
     return run
 
 
-def _mixed_parts(forest: DataFrame, classes: DataFrame | None, prefix: Column) -> DataFrame:
-    """Nodes under the prefixes that nodes of several classes share: tree, prefix, node, class,
-    and the number of nodes under the prefix. Prefixes under which the very same nodes lie count
-    once."""
+def _mixed_parts(forest: DataFrame, classes: DataFrame | None, length: int) -> DataFrame:
+    """Nodes under the prefixes that nodes of several classes share, of a length counted from the
+    shortest: tree, prefix, label, node, class, and n, the number of nodes under the prefix.
+    Prefixes under which the very same nodes lie count once."""
     if classes is None:
         known = forest.withColumn("class", F.col("node"))
     else:
         known = forest.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    rows = known.select("tree", prefix.alias("prefix"), "node", "class")
+    rows = known.withColumn("prefix", F.col("label")[length])
     several = rows.groupBy("tree", "prefix").agg(
         F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("who"),
@@ -324,7 +324,10 @@ def near_duplicates(
 
     classes = None
     for depth in lengths:
-        parts = _mixed_parts(forest, classes, F.col("label")[depth - lengths[-1]])
+        # Where no two classes share a prefix of some length, there is nothing to compare.
+        parts = _mixed_parts(forest, classes, depth - lengths[-1])
+        if depth < longest and parts.isEmpty():
+            continue
         pairs = _pivot_pairs(parts)
         for end in ("a", "b"):
             one = contents.select(F.col("node").alias(end), F.col("content").alias(f"content_{end}"))
@@ -334,12 +337,19 @@ def near_duplicates(
         )
         classes = _joined(classes, links)
         discard(links)
+        # Shorter prefixes matter only where classes meet under the shortest.
+        last, met = forest, _mixed_parts(forest, classes, 0).select("tree", "label", "node")
+        forest = staged(met, "forest")
+        discard(last)
     # Where classes still meet, all their texts are compared.
-    parts = staged(_mixed_parts(forest, classes, F.col("label")[0]).drop("n"), "meeting")
-    met = _dealt(parts, contents, ["tree", "prefix"], ["class"])
-    links = staged(met.mapInArrow(_comparer(k, threshold, True), "a long, b long, n long"), "links")
-    classes = _joined(classes, links)
-    discard(forest, parts, links)
+    parts = staged(_mixed_parts(forest, classes, 0).select("tree", "prefix", "node", "class"), "meeting")
+    discard(forest)
+    if not parts.isEmpty():
+        met = _dealt(parts, contents, ["tree", "prefix"], ["class"])
+        links = staged(met.mapInArrow(_comparer(k, threshold, True), "a long, b long, n long"), "links")
+        classes = _joined(classes, links)
+        discard(links)
+    discard(parts)
 
     if classes is None:
         classes = staged(texts.select("node", F.col("node").alias("class")).limit(0), "classes")

@@ -29,9 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return forest.one_of_each(docs)
 
 
-# Length of the strings that repeated_passages looks for, in bytes. Passages of 50 words of prose have
-# 250 bytes or more; every byte of one that occurs again is in such a string of it.
-PASSAGE_BYTES = 200
+# Length of the strings that repeated_passages looks for, in bytes: hardly any 51 words of prose are
+# shorter, and every byte of a passage that occurs again is in such a string of it.
+PASSAGE_BYTES = 240
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

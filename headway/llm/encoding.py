@@ -33,8 +33,7 @@ KNOWN_WORDS = 300_000
 _PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space but single blanks and line breaks, and what only str.split() takes for it.
 _UNEVEN = re.compile(r"[^\S \n]")
-_BEYOND = re.compile("[^\x00-ɏ]")
-_CONTROL = re.compile("[\x1c-\x1f]")
+_ODD = re.compile("[^\x00-ɏ]|[\x1c-\x1f]")
 # Before a pretoken that stands for itself, without a blank; no word of an even text starts so.
 _BARE = "\n\n"
 
@@ -59,28 +58,33 @@ def even(text: str) -> bool:
     )
 
 
-class Encoder:
-    """Ids of texts as the tokenizers library gives them, without special tokens added."""
+def special_tokens(path: str) -> list[str]:
+    from tokenizers import Tokenizer
 
-    def __init__(self, path: str, lexicon: Lexicon | None = None):
+    return [t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()]
+
+
+class Cutter:
+    """Cuts texts to what their ids are looked up by. Opens the tokenizer only if it must."""
+
+    def __init__(self, path: str, special: list[str]):
         import regex
-        from tokenizers import Tokenizer
 
-        self.table = MergeTable(path)
-        self.library = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.path, self.special, self._library = path, special, None
         self.pretokens = regex.compile(_PRETOKEN)
-        self.lexicon = lexicon
-        self.line_break = self.by_library("\n")
-        self.known: dict[str, bytes] = {}
 
-    def by_library(self, text: str) -> bytes:
-        return id_bytes(np.array(self.library.encode(text, add_special_tokens=False).ids))
+    @property
+    def library(self):
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+        return self._library
 
     def parts(self, text: str) -> list[str]:
         """The pretokens of a text. Where kinds of characters may have changed from one version of
         Unicode to the next, the library's own cut is taken."""
-        if _BEYOND.search(text) or _CONTROL.search(text):
+        if _ODD.search(text):
             return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
         return self.pretokens.findall(text)
 
@@ -88,7 +92,7 @@ class Encoder:
         """What the text's ids are looked up by, in order; None if it holds a special token."""
         if not text:
             return []
-        if self._has_special(text):
+        if self.has_special(text):
             return None
         if even(text):
             return split_words(text)
@@ -97,22 +101,43 @@ class Encoder:
             for part in self.parts(text)
         ]
 
+    def has_special(self, text: str) -> bool:
+        return any(token in text for token in self.special)
+
+
+class Encoder(Cutter):
+    """Ids of texts as the tokenizers library gives them, without special tokens added."""
+
+    def __init__(self, path: str, lexicon: Lexicon | None = None):
+        super().__init__(path, special_tokens(path))
+        self.table = MergeTable(path)
+        self.lexicon = lexicon
+        self.line_break = self.by_library("\n")
+        self.known: dict[str, bytes] = {}
+
+    def by_library(self, text: str) -> bytes:
+        return id_bytes(np.array(self.library.encode(text, add_special_tokens=False).ids))
+
     def merge(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of words as ``words`` gives them."""
         out: dict[str, bytes] = {}
-        plain, cut = [], {}
+        plain, cut, words = [], {}, list(words)
+        # Most often no word is of an odd kind, which one look at all of them tells.
+        whole = " ".join(words)
+        if not _ODD.search(whole) and _BARE not in whole and max(map(len, words), default=0) <= LONG_WORD:
+            plain, words = words, []
         for word in words:
-            bare = word.startswith(_BARE)
-            text = word[2:] if bare else word[1:] if word[0] == "\n" else " " + word
-            if len(word) > LONG_WORD or (not bare and self._has_special(word)):
+            odd = _ODD.search(word)
+            if not odd and word[:2] != _BARE and len(word) <= LONG_WORD:
+                plain.append(word)
+                continue
+            bare, first = word[:2] == _BARE, word[0] == "\n"
+            text = word[2:] if bare else word[1:] if first else " " + word
+            if len(word) > LONG_WORD:
                 ids = self.by_library(text)
-                out[word] = self.line_break + ids if word[0] == "\n" and not bare else ids
-            elif bare:
-                cut[word] = [text]
-            elif _BEYOND.search(word) or _CONTROL.search(word):
-                cut[word] = ["\n"] * (word[0] == "\n") + self.parts(text)
+                out[word] = self.line_break + ids if first and not bare else ids
             else:
-                plain.append(word)
+                cut[word] = [text] if bare else ["\n"] * first + self.parts(text)
         if cut:
             ids = self._pretoken_ids([part for parts in cut.values() for part in parts])
             out |= {word: b"".join(map(ids.__getitem__, parts)) for word, parts in cut.items()}
@@ -145,9 +170,6 @@ class Encoder:
             start = end
         return ids
 
-    def _has_special(self, text: str) -> bool:
-        return any(token in text for token in self.special)
-
     def learn(self, new: set[str]) -> None:
         words = list(new)
         if self.lexicon is not None and words:
@@ -199,9 +221,11 @@ class Decoder:
 def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """How often each word occurs in all texts: word, n."""
 
+    special = special_tokens(tokenizer)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
-        encoder = Encoder(tokenizer)
+        cutter = Cutter(tokenizer, special)
 
         def rows() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
@@ -213,7 +237,7 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
 
         for batch in slices(batches, "text"):
             for text in batch.column("text").to_pylist():
-                counts.update(encoder.words(text or "") or ())
+                counts.update(cutter.words(text or "") or ())
             if len(counts) > KNOWN_WORDS:
                 yield rows()
                 counts.clear()

@@ -12,12 +12,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.stage import slices, staged
+from headway.llm.stage import SLICE_BYTES, free_names, slices, staged
 from headway.llm.words import SPACE, WordSplitter, shingles
 
 # Labelled rows that rules are learned from, at most: those of smallest hash.
@@ -58,8 +59,8 @@ def _byte_set(values: bytes) -> np.ndarray:
     return table
 
 
-def _measurer(carried: bool = False):
-    """Counts of texts, after their doc_id and text_key, or after all columns there are."""
+def _counter():
+    """Counts of texts: a function from their bytes to an array for each of COUNTS."""
     wanted = {
         "word_chars": ~SPACE & ~_byte_set(bytes(range(0x80, 0xC0))),
         "n_symbols": _byte_set(SYMBOLS),
@@ -68,44 +69,52 @@ def _measurer(carried: bool = False):
         "n_marks": _byte_set(b"!?"),
     }
 
+    splitter = WordSplitter()
+
+    def counts(texts: list[bytes]) -> dict[str, np.ndarray]:
+        n = len(texts)
+        words = splitter.split(texts)
+        out = {"n_words": np.diff(words.first)}
+        ends = np.r_[words.offsets[1:], len(words.raw)]
+        for name, table in wanted.items():
+            sums = np.r_[0, np.cumsum(table[words.raw], dtype=np.int64)]
+            out[name] = sums[ends] - sums[words.offsets]
+        lines = [[x for x in t.split(b"\n") if x.strip(b" \t\n\r\x0b\x0c")] for t in texts]
+        out["n_lines"] = np.array([len(x) for x in lines], dtype=np.int64)
+        out["n_dup_lines"] = np.array([len(x) - len(set(x)) for x in lines], dtype=np.int64)
+        salt = np.uint64(0x9FB21C651E98DF25)
+        key = words.hash + words.text.astype(np.uint64) * salt
+        first = np.unique(key, return_index=True)[1]
+        out["n_distinct_words"] = np.bincount(words.text[first], minlength=n)
+        # Windows of three words: equal ones within a text, by 64-bit hashes.
+        hashes, text = shingles(words, 3)
+        at = np.arange(len(text)) - np.searchsorted(text, text) + words.first[:-1][text]
+        whole = out["n_words"][text] >= 3
+        hashes, text, at = hashes[whole], text[whole], at[whole]
+        _, kind, count = np.unique(
+            hashes + text.astype(np.uint64) * salt, return_inverse=True, return_counts=True
+        )
+        again = at[count[kind] > 1]
+        covered = np.zeros(len(words.text) + 2, dtype=bool)
+        for j in range(3):
+            covered[again + j] = True
+        out["n_repeat_words"] = np.bincount(
+            words.text[covered[: len(words.text)]], minlength=n
+        )
+        return out
+
+    return counts
+
+
+def _measurer():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = WordSplitter()
+        counts = _counter()
         for batch in slices(batches, "content"):
-            texts = batch.column("content").to_pylist()
-            n = len(texts)
-            words = splitter.split(texts)
-            out = {"n_words": np.diff(words.first)}
-            ends = np.r_[words.offsets[1:], len(words.raw)]
-            for name, table in wanted.items():
-                sums = np.r_[0, np.cumsum(table[words.raw], dtype=np.int64)]
-                out[name] = sums[ends] - sums[words.offsets]
-            lines = [[x for x in t.split(b"\n") if x.strip(b" \t\n\r\x0b\x0c")] for t in texts]
-            out["n_lines"] = np.array([len(x) for x in lines], dtype=np.int64)
-            out["n_dup_lines"] = np.array([len(x) - len(set(x)) for x in lines], dtype=np.int64)
-            salt = np.uint64(0x9FB21C651E98DF25)
-            key = words.hash + words.text.astype(np.uint64) * salt
-            first = np.unique(key, return_index=True)[1]
-            out["n_distinct_words"] = np.bincount(words.text[first], minlength=n)
-            # Windows of three words: equal ones within a text, by 64-bit hashes.
-            hashes, text = shingles(words, 3)
-            at = np.arange(len(text)) - np.searchsorted(text, text) + words.first[:-1][text]
-            whole = out["n_words"][text] >= 3
-            hashes, text, at = hashes[whole], text[whole], at[whole]
-            _, kind, count = np.unique(
-                hashes + text.astype(np.uint64) * salt, return_inverse=True, return_counts=True
-            )
-            again = at[count[kind] > 1]
-            covered = np.zeros(len(words.text) + 2, dtype=bool)
-            for j in range(3):
-                covered[again + j] = True
-            out["n_repeat_words"] = np.bincount(
-                words.text[covered[: len(words.text)]], minlength=n
-            )
-            # The content comes last.
-            kept = batch.schema.names[:-1] if carried else ["doc_id", "text_key"]
+            out = counts(batch.column("content").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(name) for name in kept] + [pa.array(out[name], pa.int64()) for name in COUNTS],
-                [*kept, *COUNTS],
+                [batch.column("doc_id"), batch.column("text_key")]
+                + [pa.array(out[name], pa.int64()) for name in COUNTS],
+                ["doc_id", "text_key", *COUNTS],
             )
 
     return run
@@ -123,12 +132,17 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def ratio(name: str) -> Column:
-    """A statistic of RATIOS; 0 for a text without what it is divided by."""
+def _count(name: str, of: str | None) -> Column:
+    return F.col(of)[name] if of else F.col(name)
+
+
+def ratio(name: str, of: str | None = None) -> Column:
+    """A statistic of RATIOS; 0 for a text without what it is divided by. ``of`` is the column that
+    holds the counts, if they are not columns themselves."""
     over, under = RATIOS[name]
     if under is None:
-        return F.col(over).cast("double")
-    return F.when(F.col(under) > 0, F.col(over) / F.col(under)).otherwise(0.0)
+        return _count(over, of).cast("double")
+    return F.when(_count(under, of) > 0, _count(over, of) / _count(under, of)).otherwise(0.0)
 
 
 @dataclass(frozen=True)
@@ -141,8 +155,8 @@ class Condition:
         value = x[self.statistic]
         return value > self.cut if self.above else value <= self.cut
 
-    def column(self) -> Column:
-        value = ratio(self.statistic)
+    def column(self, of: str | None = None) -> Column:
+        value = ratio(self.statistic, of)
         return value > self.cut if self.above else value <= self.cut
 
     def __str__(self) -> str:
@@ -211,13 +225,13 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = PRECISIO
     return rules
 
 
-def rejects(rules: list[Rule]) -> Column:
+def rejects(rules: list[Rule], of: str | None = None) -> Column:
     """The list as one conditional expression: the number of the first rule that holds, or null."""
     out = None
     for number, rule in enumerate(rules):
         holds = F.lit(True)
         for condition in rule:
-            holds = holds & condition.column()
+            holds = holds & condition.column(of)
         out = F.when(holds, number) if out is None else out.when(holds, number)
     return F.lit(None).cast("int") if out is None else out
 
@@ -228,11 +242,10 @@ def _chosen(labels: DataFrame, sample_rows: int) -> DataFrame:
     ).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "quality").limit(sample_rows)
 
 
-def failed() -> Column:
+def failed(of: str | None = None) -> Column:
     """Whether counts are beyond the fixed limits."""
-    return (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")
-    )
+    n_words = _count("n_words", of)
+    return (n_words < MIN_WORDS) | (100 * _count("n_repeat_words", of) > MAX_REPEATED * n_words)
 
 
 def fit(measured: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -268,13 +281,21 @@ def keep(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     ids = F.broadcast(chosen.select("doc_id").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rules = fit(staged(measure(texts.join(ids, "doc_id", "left_semi")), "labelled"), labels, sample_rows)
-    # Positions stand for the columns' names, which may be those of the counts.
-    columns = [f"c{i}" for i in range(len(docs.columns))]
-    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(columns, docs.schema, strict=True)])
-    for name in COUNTS:
-        schema.add(name, T.LongType())
-    text = F.col(columns[docs.columns.index("text")])
-    content = F.coalesce(text, F.lit("")).cast("binary").alias("content")
-    measured = docs.toDF(*columns).select("*", content).mapInArrow(_measurer(True), schema)
-    good = ~failed() & rejects(rules).isNull()
-    return measured.where(good).select(*[F.col(c).alias(n) for c, n in zip(columns, docs.columns, strict=True)])
+    # The counts come back beside the rows, which neither leave the JVM nor are shuffled.
+    struct = T.StructType([T.StructField(name, T.LongType()) for name in COUNTS])
+
+    @F.pandas_udf(struct)
+    def counted(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        counts = _counter()
+        for part in parts:
+            sizes = np.cumsum([len(x or "") for x in part])
+            cuts = np.unique(np.r_[0, np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1, len(part)])
+            yield pd.concat([
+                pd.DataFrame(counts([(x or "").encode() for x in part.iloc[a:b]]))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+            ] or [pd.DataFrame({name: [] for name in COUNTS}, dtype="int64")])
+
+    [own] = free_names(docs, "counts")
+    measured = docs.withColumn(own, counted.asNondeterministic()("text"))
+    good = ~failed(own) & rejects(rules, own).isNull()
+    return measured.where(good).select(*docs.columns)

@@ -241,7 +241,8 @@ def _sample(labelled: DataFrame) -> DataFrame:
     cuts = ids.groupBy("lang").agg(F.count("*").alias("n")).select(
         "lang", F.when(share < 1, share * 2.0**64 - 2.0**63).alias("cut")
     )
-    near = ids.join(cuts, "lang").where(F.col("cut").isNull() | (F.col("draw") <= F.col("cut")))
+    # One row a language, of which the model has a column each; the ids of a language stay apart.
+    near = ids.join(F.broadcast(cuts), "lang").where(F.col("cut").isNull() | (F.col("draw") <= F.col("cut")))
     window = W.partitionBy("lang").orderBy("draw", "doc_id", "text_key")
     before = F.coalesce(F.sum("n_bytes").over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     chosen = (

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# Groups of keys, by a hash, that are called and kept together.
+BUCKETS = 1 << 12
+
 
 def changed_only(
     polls: DataFrame, keys: Sequence[str], order: Sequence[str], identity: str
@@ -21,34 +24,71 @@ def changed_only(
     trigger's come after the last one's. A poll that comes late is compared with what is stored by
     then, as a capture that is under way does.
 
-    The state of a key is the identity last stored, one value. It is committed with the batch that
+    What is kept of a key is the identity last stored, one value. It is committed with the batch that
     stores the payload: if that fails, the batch is done again from the state before, so an identity
     never moves without its payload. Polls that are known to have failed are filtered out before.
 
-    A trigger's polls of one key are compared in one task, which holds their order and identity; the
-    source's limits (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bound them.
+    Keys share the state, and the call, of one of ``BUCKETS``, so that a trigger costs no more calls
+    than that however many keys it has. A trigger's polls of one bucket are compared in one task, which
+    holds them; the source's limits (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bound them.
     """
     for column in (*keys, *order, identity):
         if column not in polls.columns:
             raise ValueError(f"the stream has no column {column}")
-    names, ordered, of = list(polls.columns), list(order), identity
-    state_schema = T.StructType([T.StructField("identity", polls.schema[identity].dataType)])
+    # NULLs of numbers go beside them, as pandas has none.
+    numbers = {
+        c for c, f in zip(polls.columns, polls.schema)
+        if isinstance(f.dataType, T.NumericType) and not isinstance(f.dataType, T.DecimalType)
+    }
+    place = {c: n for n, c in enumerate(polls.columns)}
+    values = [
+        (F.coalesce(polls[c], F.lit(0).cast(polls.schema[c].dataType)) if c in numbers else polls[c]).alias(f"c{n}")
+        for c, n in place.items()
+    ]
+    unset = [polls[c].isNull().alias(f"n{place[c]}") for c in place if c in numbers]
+    key = F.to_json(F.struct(*[_text(polls, c).alias(f"k{n}") for n, c in enumerate(keys)]))
+    marked = polls.select(
+        *values, *unset, key.alias("key"), _text(polls, identity).alias("identity"),
+        F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket"),
+    )
+    out = marked.drop("key", "identity", "bucket").schema
+    sent = out.names
+    ordered = [(f"c{place[c]}", f"n{place[c]}" if c in numbers else None) for c in order]
+    state_schema = T.StructType([
+        T.StructField(name, T.ArrayType(T.StringType())) for name in ("keys", "identities")
+    ])
 
     def compare(
         _: tuple, parts: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(parts), ignore_index=True)
-        rows = rows.sort_values(ordered, kind="stable", na_position="first", ignore_index=True)
-        known = rows["__identity"].where(rows["__identity"].notna(), None)
-        before = known.shift(1, fill_value=None)
-        if state.exists:
-            before.iloc[0] = state.get[0]
-        kept = ~((known == before) | (known.isna() & before.isna()))
-        kept.iloc[0] = kept.iloc[0] or not state.exists
-        state.update((known.iloc[-1],))
-        yield rows.loc[kept, names]
-
-    marked = polls.withColumn("__identity", F.col(of))
-    return marked.groupBy(*keys).applyInPandasWithState(
-        compare, polls.schema, state_schema, "append", GroupStateTimeout.NoTimeout
+        # NULL first; a sort of the frame takes longer than all else for a few rows.
+        parts_of = []
+        for value, flag in ordered:
+            there = (rows[value].notna() & ~rows[flag].astype(bool) if flag else rows[value].notna()).tolist()
+            parts_of += [there, [v if ok else None for v, ok in zip(rows[value].tolist(), there, strict=True)]]
+        at = sorted(range(len(rows)), key=list(zip(*parts_of, strict=True)).__getitem__)
+        owners, known = rows["key"].tolist(), rows["identity"].where(rows["identity"].notna(), None).tolist()
+        last = dict(zip(*state.get, strict=True)) if state.exists else {}
+        kept = []
+        for n in at:
+            own, now = owners[n], known[n]
+            if own not in last or last[own] != now:
+                kept.append(n)
+            last[own] = now
+        state.update((list(last), list(last.values())))
+        yield rows.iloc[kept, : len(sent)]
+
+    changed = marked.groupBy("bucket").applyInPandasWithState(
+        compare, out, state_schema, "append", GroupStateTimeout.NoTimeout
     )
+    return changed.select(*[
+        (F.when(~F.col(f"n{n}"), F.col(f"c{n}")) if c in numbers else F.col(f"c{n}")).alias(c)
+        for c, n in place.items()
+    ])
+
+
+def _text(df: DataFrame, name: str) -> Column:
+    """A value as text, different values differently; NULL stays."""
+    binary = isinstance(df.schema[name].dataType, T.BinaryType)
+    return F.base64(df[name]) if binary else df[name].cast("string")

@@ -11,6 +11,7 @@ from headway.feeds import CAPTURED_FEEDS, LONG, STRING, FeedSpec, registry, stru
 from headway.functions import keys
 from headway.operators import capture, quality, rows
 from headway.operators.capture import drop_unchanged
+from headway.streaming import capture as streaming_capture
 from headway.streaming.capture import changed_only
 
 
@@ -232,6 +233,25 @@ def test_stream_keeps_what_the_batch_keeps(spark, tmp_path):
     assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_keys_of_a_stream_share_calls_and_keep_nulls(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streaming_capture, "BUCKETS", 2)
+    big = (1 << 53) + 1
+    polls = [
+        (big + t, None if k == 3 else k, f"z{k}", None if (t + k) % 4 == 0 else t // 3) for t in range(30) for k in range(6)
+    ]
+    df = spark.createDataFrame([*polls, (None, 1, "z1", 5), (None, None, "z9", None)], "t long, k long, z string, identity long")
+    want = drop_unchanged(df, ["k", "z"], ["t"], "identity", 50)
+    for parity in (0, 1):
+        df.where((F.coalesce("t", F.lit(0)) > big + 14) == bool(parity)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        kept = changed_only(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"), ["k", "z"], ["t"], "identity")
+        assert "bucket" in kept._jdf.queryExecution().analyzed().toString()
+        sink = kept.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        sink.option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.dtypes == df.dtypes
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_identity_stays_if_the_payload_was_not_stored(spark, tmp_path):
     schema = "t long, feed string, identity string"
 

@@ -9,8 +9,8 @@ which proposals are known. The rest, which are open, become spans if their score
 kind's threshold, which is calibrated on known proposals kept out of training.
 
 Everything that touches the corpus is columns: patterns, positions, features, and the trees, which
-become conditional expressions. Only counts of equal feature rows of a bounded sample come to the
-driver, where the trees are grown.
+become conditional expressions. Only counts of equal feature rows, which hold small whole numbers, come
+to the driver, where the trees are grown.
 """
 
 from __future__ import annotations
@@ -29,8 +29,7 @@ KINDS = ("email", "ip", "card", "phone")
 # Kinds of the spans that the trees add.
 ADDED = tuple(f"likely_{kind}" for kind in KINDS)
 
-# Known proposals that are learned from, at most; one in FOLDS of them calibrates.
-SAMPLE = 20_000
+# All known proposals are learned from; one text in FOLDS of them calibrates.
 FOLDS = 5
 TREES, DEPTH, RATE, SMOOTHING = 24, 3, 0.3, 1.0
 # Of the known proposals at or above a threshold, so many must be positive, one more negative
@@ -371,24 +370,20 @@ def grow(x: np.ndarray, positive: np.ndarray, n: np.ndarray, calibrates: np.ndar
 
 
 def learn(found: DataFrame) -> Trees:
-    """Trees from at most SAMPLE known proposals, drawn by a hash of the text they are in and
-    their place, so that the draw is the same for the same table."""
-    known = found.select(
-        "text_key", F.explode(F.filter("proposals", lambda p: p["known"] != OPEN)).alias("p")
-    ).select("text_key", "p.*")
-    n = known.count()
-    drawn = known
-    if n > SAMPLE:
-        draw = F.pmod(F.xxhash64("text_key", "start", "kind"), F.lit(1 << 30))
-        # Somewhat fewer on average than allowed; the limit only meets what chance adds.
-        drawn = known.where(draw < int(0.9 * SAMPLE / n * (1 << 30))).limit(SAMPLE)
-    rows = drawn.groupBy(*FEATURES, "known", "calibrates").agg(F.count("*").alias("n")).collect()
-    rows = sorted(tuple(r) for r in rows)
-    if not rows:
+    """Trees from all known proposals. Equal feature rows are counted on the cluster; the driver gets
+    the different ones, as columns of numbers."""
+    rows = (
+        found.select(F.explode(F.filter("proposals", lambda p: p["known"] != OPEN)).alias("p"))
+        .groupBy(*[F.col(f"p.{name}").alias(name) for name in (*FEATURES, "known", "calibrates")])
+        .agg(F.count("*").alias("n"))
+        .toArrow()
+    )
+    if not rows.num_rows:
         return Trees(0.0, [], [None] * len(KINDS))
-    x = np.array([r[: len(FEATURES)] for r in rows])
-    known_, calibrates, n_ = (np.array(c) for c in list(zip(*rows, strict=True))[len(FEATURES) :])
-    return grow(x, known_ == POSITIVE, n_.astype(float), calibrates)
+    rows = rows.sort_by([(name, "ascending") for name in rows.column_names])
+    x = np.column_stack([rows[name].to_numpy() for name in FEATURES])
+    known, calibrates, n = (rows[name].to_numpy() for name in ("known", "calibrates", "n"))
+    return grow(x, known == POSITIVE, n.astype(float), calibrates)
 
 
 def scan(docs: DataFrame) -> DataFrame:

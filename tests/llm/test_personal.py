@@ -178,3 +178,18 @@ def test_no_python_on_the_main_path(documents, capsys):
     plan = capsys.readouterr().out
     personal.propose(documents(["a@b.cc"])).explain()
     assert not re.search("Python|Arrow|Pandas", plan + capsys.readouterr().out)
+
+
+def test_all_known_proposals_are_learned_from(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(personal, "grow", lambda x, positive, n, calibrates: seen.append((x, positive, n, calibrates)))
+    one = F.struct(
+        F.col("id").cast("int").alias("start"), F.col("id").cast("int").alias("end"),
+        (F.col("id") % 3 - 1).cast("int").alias("known"), (F.col("id") % 5 == 0).alias("calibrates"),
+        *[F.lit(n).cast("int").alias(name) for n, name in enumerate(personal.FEATURES)],
+    )
+    found = spark.range(45_000).select(F.col("id").alias("text_key"), F.array(one, one).alias("proposals"))
+    personal.learn(found)
+    [(x, positive, n, calibrates)] = seen
+    assert x.tolist() == [list(range(len(personal.FEATURES)))] * 4
+    assert n.sum() == 60_000 and n[positive].sum() == 30_000 and n[calibrates].sum() == 12_000

@@ -216,12 +216,14 @@ class Novelty:
     def _length(self, text: str) -> int:
         return len(self.compressor.compress(text.encode()))
 
-    def share(self, before: str, string: str, after: str) -> float:
-        """Bits added, as a share of those that a random string alike holds."""
+    def share(self, before: str, string: str, after: str, known: str = "") -> float:
+        """Bits added, as a share of those that a random string alike holds; ``known`` are words of the
+        string that the corpus uses and the dictionary has no room for."""
+        lead = f"{known} " if known else ""
         # With both sides and with one: a block that just gains or loses its Huffman codes changes
         # one of the three by as much as a short string has, not their median.
         added = sorted(
-            self._length(b + string + a) - self._length(b + a)
+            self._length(lead + b + string + a) - self._length(lead + b + a)
             for b, a in ((before, after), (before, ""), ("", after))
         )[1]
         return 8 * added / (alphabet_bits(string) * len(string))
@@ -240,21 +242,54 @@ def _found(docs: DataFrame) -> DataFrame:
     )
 
 
-def _dictionary(found: DataFrame) -> bytes:
-    """Identifiers around candidates, the most frequent ones."""
+def _dictionary(found: DataFrame) -> tuple[bytes, DataFrame | None]:
+    """Identifiers around candidates: the most frequent ones as text, and, if there are more, those of
+    each text's candidates among all others, as text_key and ``known``, a map from the string."""
+    asking = found.where(F.size("candidates") > 0)
     words = (
-        found.where(F.size("candidates") > 0).select("candidates")
+        asking.select("candidates")
         .mapInArrow(_identifiers, "word string, n long, asked boolean").groupBy("word")
         .agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
         .where("n > 1 AND NOT asked").select("word", "n")
     )
-    words = most_frequent(words, ["word"], DICTIONARY_WORDS).collect()
+    words = staged(words, "words")
+    most = [r["word"] for r in most_frequent(words, ["word"], DICTIONARY_WORDS).collect()]
     # What comes last in a dictionary is found cheapest, so the most frequent words do.
-    return " ".join(r["word"] for r in reversed(words)).encode()
+    dictionary = " ".join(reversed(most)).encode()
+    if len(most) < DICTIONARY_WORDS:
+        return dictionary, None
+    others = words.join(words.sparkSession.createDataFrame([(w,) for w in most], "word string"), "word", "left_anti")
+    own = asking.select("text_key", "candidates").mapInArrow(
+        _words_of_candidates, "text_key long, string string, word string"
+    ).distinct()
+    by_string = own.join(others.select("word"), "word").groupBy("text_key", "string").agg(
+        F.concat_ws(" ", F.sort_array(F.collect_set("word"))).alias("words")
+    )
+    known = F.map_from_entries(F.collect_list(F.struct("string", "words"))).alias("known")
+    return dictionary, staged(by_string.groupBy("text_key").agg(known), "known")
+
+
+def _words_of_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [
+            {"text_key": key, "string": one["string"], "word": word}
+            for key, own in zip(*[batch.column(n).to_pylist() for n in ("text_key", "candidates")], strict=True)
+            for one in own for word in sorted(known_words(one["string"]))
+        ]
+        kinds = pa.schema([("text_key", pa.int64()), ("string", pa.string()), ("word", pa.string())])
+        yield pa.RecordBatch.from_pylist(rows, schema=kinds)
+
+
+def _with_known(rows: DataFrame, others: DataFrame | None) -> DataFrame:
+    """Adds ``known`` of each row's text_key."""
+    if others is None:
+        return rows.withColumn("known", F.lit(None).cast("map<string,string>"))
+    return rows.join(others, "text_key", "left")
 
 
-def _novel(novelty: Novelty, one: dict) -> bool:
-    return novelty.share(one["before"], one["string"], one["after"]) >= NOVELTY
+def _novel(novelty: Novelty, one: dict, known: list | None) -> bool:
+    words = dict(known or ()).get(one["string"], "")
+    return novelty.share(one["before"], one["string"], one["after"], words) >= NOVELTY
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -263,18 +298,19 @@ def scan(docs: DataFrame) -> DataFrame:
     and end in code points, sorted. A null text is empty and has none; a repeated row has its own.
     """
     found = _found(docs)
-    dictionary = docs.sparkSession.sparkContext.broadcast(_dictionary(found))
+    dictionary, others = _dictionary(found)
+    dictionary = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty(dictionary.value)
         for batch in batches:
             spans = []
-            for own, asked in zip(
-                batch.column("spans").to_pylist(), batch.column("candidates").to_pylist(), strict=True
+            for own, asked, known in zip(
+                *[batch.column(n).to_pylist() for n in ("spans", "candidates", "known")], strict=True
             ):
                 own += [
                     {"start": one["start"], "kind": len(KINDS), "end": one["end"]}
-                    for one in asked if _novel(novelty, one)
+                    for one in asked if _novel(novelty, one, known)
                 ]
                 spans.append(sorted(own, key=lambda s: (s["start"], s["kind"])))
             yield pa.RecordBatch.from_arrays(
@@ -285,7 +321,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 ["doc_id", "text_key", "spans"],
             )
 
-    return found.mapInArrow(judge, f"doc_id long, text_key long, spans array<{_SPAN}>")
+    return _with_known(found, others).mapInArrow(judge, f"doc_id long, text_key long, spans array<{_SPAN}>")
 
 
 def written(spans):
@@ -312,9 +348,10 @@ def _marked(text: str, spans: list[tuple[int, int]], mark: str) -> str:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each run of overlapping spans in ``text`` replaced by the mark. Other columns
     stay, a null text stays null. The dictionary is made first; texts are then judged and changed
-    where they are, so none is shuffled."""
+    where they are, so none is shuffled, unless there are more words than it has room for."""
     found = _found(docs)
-    dictionary = docs.sparkSession.sparkContext.broadcast(_dictionary(found))
+    dictionary, others = _dictionary(found)
+    dictionary = docs.sparkSession.sparkContext.broadcast(dictionary)
     discard(found)
     place = docs.columns.index("text")
     columns = [f"c{i}" for i in range(len(docs.columns))]
@@ -323,16 +360,18 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         novelty = Novelty(dictionary.value)
         for batch in slices(batches, f"c{place}"):
             texts = batch.column(place).to_pylist()
-            for number, text in enumerate(texts):
+            words = batch.column("known").to_pylist()
+            for number, (text, known) in enumerate(zip(texts, words, strict=True)):
                 own = base_spans(text or "")
                 spans = [(s, e) for s, _, e in own]
-                spans += [(one["start"], one["end"]) for one in _asked(text or "", own) if _novel(novelty, one)]
+                spans += [(one["start"], one["end"]) for one in _asked(text or "", own) if _novel(novelty, one, known)]
                 if spans:
                     texts[number] = _marked(text, spans, mark)
-            arrays = list(batch.columns)
+            arrays = list(batch.columns)[: len(columns)]
             arrays[place] = pa.array(texts, arrays[place].type)
-            yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
+            yield pa.RecordBatch.from_arrays(arrays, columns)
 
     # Positions stand for the columns' names, of which some may be alike but for their case.
     named = docs.toDF(*columns)
-    return named.mapInArrow(run, named.schema).toDF(*docs.columns)
+    keyed = _with_known(named.withColumn("text_key", F.xxhash64(columns[place])), others)
+    return keyed.select(*columns, "known").mapInArrow(run, named.schema).toDF(*docs.columns)

@@ -121,6 +121,23 @@ def test_copies_do_not_make_a_string_known(documents):
         assert got[i] == want, text
 
 
+def test_words_that_the_dictionary_has_no_room_for_are_known(documents, monkeypatch):
+    key = "Zk8Qw2Lr7Tx5Vb1Nc9Md4Hj6Gf3Ps0Yt"
+    texts = [f"aaa bbb bearer {key}"] * 9 + [f"client_configuration_service bearer {key}"] * 2
+    texts += ["the bearer client_configuration_service goes", f"the bearer {key} goes", None]
+    monkeypatch.setattr(secrets, "DICTIONARY_WORDS", 2)
+    docs = documents(texts)
+    dictionary, _ = secrets._dictionary(secrets._found(docs))
+    assert len(dictionary.split()) == 2
+    # So short a dictionary alone would report it.
+    novel = secrets.Novelty(dictionary).share("the bearer ", "client_configuration_service", " goes")
+    assert novel >= secrets.NOVELTY
+    got = scanned(docs)
+    assert got[11] == [] and got[12] == [(11, 3, 43)] and got[13] == []
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert out[11] == texts[11] and out[12] == "the bearer [SECRET] goes" and out[13] is None
+
+
 def test_blanks_keep_the_length():
     assert secrets.blanked("abcdefgh", [(4, 6), (1, 3), (2, 5)]) == "a     gh"
     assert secrets.known_words("client_configService a1b2c3 KEY_x") == {

@@ -90,3 +90,28 @@ def test_a_swap_empties_a_bin():
     search = packing.SwapSearch(np.array([4, 5, 2, 6, 1]), np.array([0, 1, 1, 2, 2]), 3, 10)
     after = search.run()
     assert search.used() == 2 and after[0] == after[3] and after[4] == after[1] == after[2]
+
+
+def test_new_words_are_looked_at_together():
+    # Looks for odd characters, one for each new word, took most of a task's time.
+    class Counting:
+        def __init__(self, pattern):
+            self.pattern, self.n = pattern, 0
+
+        def search(self, text):
+            self.n += 1
+            return self.pattern.search(text)
+
+    encoder = WordEncoder(PATH)
+    encoder.odd = looks = Counting(encoder.odd)
+    texts = [f"Wort{i} don't-{i} naïve{i}" for i in range(500)]
+    library = Tokenizer.from_file(PATH)
+
+    def want(some):
+        return [library.encode(t, add_special_tokens=False).ids for t in some]
+
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(texts)] == want(texts)
+    assert looks.n == 1
+    # An odd word among them goes to the library, the others do not.
+    mixed = ["neu1 日本 neu2", "<|endoftext|>neu3 neu4"]
+    assert [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(mixed)] == want(mixed)

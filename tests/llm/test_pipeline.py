@@ -37,3 +37,31 @@ def test_stages_one_after_the_other(spark, tmp_path):
 def test_stages_on_an_empty_table(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).collect() == []
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from headway.llm.stage import staged
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    # All 40 MB of a task were one batch.
+    rows = staged(texts.mapInArrow(sizes, "n long, size long"), "sizes").collect()
+    assert sum(r.n for r in rows) == 4000
+    assert max(r.size for r in rows) < (8 << 20) + 100_000
+    assert spark.conf.get(setting) == before
+    # A size that the session sets stays.
+    spark.conf.set(setting, "2m")
+    try:
+        rows = staged(texts.mapInArrow(sizes, "n long, size long"), "sizes").collect()
+        assert max(r.size for r in rows) < (2 << 20) + 100_000
+        assert spark.conf.get(setting) == "2m"
+    finally:
+        spark.conf.unset(setting)

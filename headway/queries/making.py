@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from itertools import chain, repeat
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,49 +36,152 @@ def pack(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        message = wire.feed_message(messages)
+        message, known = wire.feed_message(messages), wire.messages(messages)
         for batch in batches:
             heads = zip(*[batch.column(name).to_pylist() for name in (*keep, "header_timestamp")])
-            feeds: list[tuple] = []
-            open_feeds: dict[tuple, object] = {}
-            members = []
             entity = batch.column("entity")
             there = entity.is_valid()
+            feeds: list[tuple] = []
+            sizes: list[int] = []
+            open_feeds: dict[tuple, int] = {}
+            members = []
             for head, filled in zip(heads, there.to_pylist()):
                 feed = open_feeds.get(head)
-                if feed is None or len(feed.entity) >= max_entities:
-                    header = {"gtfs_realtime_version": "2.0", "timestamp": head[-1]}
-                    feed = open_feeds[head] = message(header=header)
-                    feeds.append((head, feed))
+                if feed is None or sizes[feed] >= max_entities:
+                    feed = open_feeds[head] = len(feeds)
+                    feeds.append(head)
+                    sizes.append(0)
                 if filled:
-                    members.append(feed.entity.add())
-            _fill(members, entity.filter(there))
-            out = [(*head, feed.SerializeToString()) for head, feed in feeds]
-            columns = [pa.array(col, f.type) for col, f in zip(zip(*out), arrow)]
-            if columns:
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                    sizes[feed] += 1
+                    members.append(feed)
+            if feeds:
+                headers = [
+                    message(header={"gtfs_realtime_version": "2.0", "timestamp": head[-1]}).SerializeToString()
+                    for head in feeds
+                ]
+                entity = entity.filter(there)
+                # Text that is not UTF-8 is refused here, as nothing reads it one by one.
+                entity.validate(full=True)
+                items = encoded(entity, "FeedEntity", known)
+                items = items.take(pa.array(np.argsort(np.array(members, np.int64), kind="stable")))
+                bodies = _repeated(items, np.array(sizes), known["FeedMessage"]["entity"][1])
+                contents = pc.binary_join_element_wise(pa.array(headers, pa.binary()), bodies, b"")
+                columns = [pa.array(col, f.type) for col, f in zip(zip(*feeds), arrow)]
+                yield pa.RecordBatch.from_arrays([*columns, contents], schema=arrow)
 
     return entities.select(*keep, "header_timestamp", "entity").mapInArrow(run, schema)
 
 
-def _fill(messages: list, column: pa.StructArray) -> None:
-    """Sets the fields of messages from a struct column; NULL leaves a field unset."""
-    for field, values in zip(column.type, column.flatten()):
-        name = field.name
-        if pa.types.is_list(field.type):
-            sizes = [size or 0 for size in values.value_lengths().to_pylist()]
-            lists = chain.from_iterable(repeat(getattr(m, name), n) for m, n in zip(messages, sizes))
-            _fill([items.add() for items in lists], values.flatten())
-        elif pa.types.is_struct(field.type):
-            valid = values.is_valid()
-            inner = [getattr(m, name) for m, there in zip(messages, valid.to_pylist()) if there]
-            for message in inner:
-                message.SetInParent()
-            _fill(inner, values.filter(valid))
-        elif values.null_count < len(values):
-            for message, value in zip(messages, values.to_pylist()):
-                if value is not None:
-                    setattr(message, name, value)
+# Numbers that a field holds; an enum holds its codes.
+_RANGES = {
+    "int32": (-(2**31), 2**31 - 1),
+    "sint32": (-(2**31), 2**31 - 1),
+    "uint32": (0, 2**32 - 1),
+    "uint64": (0, 2**63 - 1),
+}
+_FIXED = {"float": (5, "<f4"), "double": (1, "<f8")}
+_LENGTH_GIVEN = 2
+
+
+def encoded(
+    column: pa.StructArray,
+    message: str,
+    known: Mapping[str, Mapping[str, tuple[str, int]]],
+    there: np.ndarray | None = None,
+) -> pa.BinaryArray:
+    """Rows of a struct column as messages on the wire, column by column; NULL leaves a field unset.
+
+    The bytes are those of the protobuf package, and what it refuses fails: a required field unset, a
+    number beyond its type, a code outside its enum. Rows not ``there`` have no message; they give
+    no bytes.
+    """
+    there = np.ones(len(column), np.bool_) if there is None else there
+    fields = dict(zip((field.name for field in column.type), column.flatten()))
+    for name, (kind, _) in known[message].items():
+        if kind.endswith("!") and there.any():
+            given = _valid(fields[name]) if name in fields else np.zeros(len(there), np.bool_)
+            if (there & ~given).any():
+                from google.protobuf.message import EncodeError
+
+                raise EncodeError(f"{message} is missing required fields: {name}")
+    parts: list[pa.Array] = []
+    filled = [name for name, values in fields.items() if values.null_count < len(values)]
+    for name in sorted(filled, key=lambda name: known[message][name][1]):
+        values, (kind, number) = fields[name], known[message][name]
+        base, valid = kind.rstrip("!*"), _valid(values)
+        if kind.endswith("*"):
+            sizes = np.asarray(pc.fill_null(values.value_lengths(), 0), dtype=np.int64)
+            parts.append(_repeated(encoded(values.flatten(), base, known), sizes, number))
+        elif base in known or base == "string":
+            body = encoded(values, base, known, valid) if base in known else values.cast(pa.binary())
+            body = pc.fill_null(body, b"")
+            parts += [_varints(_lengths(body), _tag(number, _LENGTH_GIVEN), valid), body]
+        elif base in _FIXED:
+            code, kept = _FIXED[base]
+            numbers = np.asarray(pc.fill_null(values.cast(pa.float64()), 0.0))
+            with np.errstate(over="ignore"):
+                numbers = np.ascontiguousarray(numbers.astype(kept))
+            parts.append(_cut(_tag(number, code), numbers.view(np.uint8).reshape(len(numbers), -1), valid))
+        else:
+            numbers = np.asarray(pc.fill_null(values.cast(pa.int64()), 0), dtype=np.int64)
+            _check(numbers[valid], base, f"{message}.{name}")
+            if base.startswith("sint"):
+                numbers = (numbers << 1) ^ (numbers >> 63)
+            parts.append(_varints(numbers, _tag(number, 0), valid))
+    if not parts:
+        return pa.array([b""] * len(column), pa.binary())
+    return pc.binary_join_element_wise(*parts, b"")
+
+
+def _valid(values: pa.Array) -> np.ndarray:
+    return values.is_valid().to_numpy(zero_copy_only=False)
+
+
+def _lengths(values: pa.BinaryArray) -> np.ndarray:
+    return np.asarray(pc.binary_length(values), dtype=np.int64)
+
+
+def _check(numbers: np.ndarray, kind: str, where: str) -> None:
+    if kind in wire.ENUMS:
+        fits = np.isin(numbers, wire.ENUMS[kind])
+    else:
+        low, high = _RANGES.get(kind, (-(2**63), 2**63 - 1))
+        fits = (numbers >= low) & (numbers <= high)
+    if not fits.all():
+        raise ValueError(f"{where}: {numbers[~fits][0]} is no {kind}")
+
+
+def _tag(number: int, code: int) -> np.ndarray:
+    value = number << 3 | code
+    groups = [value >> 7 * n & 0x7F for n in range((value.bit_length() + 6) // 7)]
+    return np.array([*[group | 0x80 for group in groups[:-1]], groups[-1]], np.uint8)
+
+
+def _varints(numbers: np.ndarray, tag: np.ndarray, valid: np.ndarray) -> pa.BinaryArray:
+    """The tag and the number of each valid row, seven bits to a byte, low ones first."""
+    rest = numbers.view(np.uint64)
+    widest = max(1, (int(rest.max(initial=0)).bit_length() + 6) // 7)
+    groups = rest[:, None] >> (7 * np.arange(widest, dtype=np.uint64))
+    more = np.zeros(groups.shape, np.bool_)
+    more[:, :-1] = groups[:, 1:] > 0
+    return _cut(tag, (groups & 0x7F | more * np.uint64(0x80)).astype(np.uint8), valid, 1 + more.sum(axis=1))
+
+
+def _cut(tag: np.ndarray, rows: np.ndarray, valid: np.ndarray, sizes: np.ndarray | None = None) -> pa.BinaryArray:
+    """The tag and the first ``sizes`` bytes of each valid row, all bytes by default."""
+    whole = np.concatenate([np.broadcast_to(tag, (len(rows), len(tag))), rows], axis=1)
+    ends = np.where(valid, len(tag) + (rows.shape[1] if sizes is None else sizes), 0)
+    kept = whole[np.arange(whole.shape[1]) < ends[:, None]]
+    offsets = np.concatenate([[0], np.cumsum(ends)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+
+
+def _repeated(items: pa.BinaryArray, sizes: np.ndarray, number: int) -> pa.BinaryArray:
+    """Encoded messages of a repeated field, so many of them to a row."""
+    every = np.ones(len(items), np.bool_)
+    tagged = pc.binary_join_element_wise(_varints(_lengths(items), _tag(number, _LENGTH_GIVEN), every), items, b"")
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, tagged), b"")
 
 
 def put_objects(objects: DataFrame, lake: str) -> int:

@@ -1,4 +1,6 @@
+import gc
 import random
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -50,6 +52,14 @@ def test_repeated_rows_and_null_ids_lose_their_windows(documents):
     ]
 
 
+def test_what_is_left_is_written_by_the_operator_itself(documents, capsys):
+    # Whoever writes the result would hand whole texts to Python in batches of Spark's own size.
+    kept = suffixes.remove_repeats(documents(["a" * 900, "b" * 500]))
+    kept.explain()
+    assert "MapInArrow" not in capsys.readouterr().out
+    assert sorted((r.n_bytes, r.n_removed) for r in kept.collect()) == [(500, 500), (900, 900)]
+
+
 def test_stripping_keeps_other_columns(documents):
     text = "".join(random.Random(6).choices("abcdé", k=900))
     docs = documents(["one " + text, "two " + text, None, "three"])
@@ -63,6 +73,19 @@ def test_empty_table(empty):
     assert suffixes.strip_repeats(empty).collect() == []
 
 
+def test_names_of_a_buffer_go_with_it():
+    gc.disable()
+    try:
+        names = suffixes.Names(400)
+        short = names.short(np.arange(2000, dtype=np.uint8), 0)
+        names.long(short, np.arange(10), 0)
+        held = weakref.ref(short)
+        del short
+        assert held() is None
+    finally:
+        gc.enable()
+
+
 def test_sliding_min():
     values = np.random.default_rng(1).integers(0, 99, 50).astype(np.uint64)
     want = [values[i : i + 7].min() for i in range(44)]
